@@ -1,4 +1,4 @@
-"""Spreading header amounts over the lines of an order."""
+"""Numbering the lines of an order and spreading header amounts over them."""
 
 from __future__ import annotations
 
@@ -14,63 +14,54 @@ from kimberlite.operators.numbering import number_rows
 EXACT = (18, 8)
 SCALE = 4
 MONEY = f"decimal(18,{SCALE})"
-ADDED = ("line_number", "line_count", "line_share")
+ADDED = ("line_number", "line_count", "line_total_of_group", "line_share")
 
 
-def _share(weight: str) -> Column:
-    """Part of the order total; zero when the total is zero, so the last line takes all."""
-    total = F.col("_total").cast("double")
-    return F.when(F.col("_total") == 0, F.lit(0.0)).otherwise(F.try_divide(F.col(weight), total))
+def number_lines(df: DataFrame, group: str, order: Sequence[Column], weight: str) -> DataFrame:
+    """Add ``line_number``, ``line_count``, ``line_total_of_group`` and ``line_share``.
 
-
-def _rounded(amount: str) -> Column:
-    return to_decimal(F.col("line_share") * F.col(amount).cast("double"), 18, SCALE)
-
-
-def _with_totals(df: DataFrame, group: str) -> DataFrame:
+    The share is zero where the group's total is zero. One shuffle on ``group``.
+    """
     whole = Window.partitionBy(group)
-    return df.withColumns(
-        {
-            "line_count": F.count(F.lit(1)).over(whole),
-            "_total": F.sum("_weight").over(whole),
-        }
+    return _with_share(
+        df.withColumns(
+            {
+                "line_number": F.row_number().over(whole.orderBy(*order)).cast("bigint"),
+                "line_count": F.count(F.lit(1)).over(whole),
+                "line_total_of_group": F.sum(_exact(weight)).over(whole),
+            }
+        ),
+        weight,
     )
 
 
-def _settle(amounts: Mapping[str, str]) -> dict[str, Column]:
-    """Rounded parts, except that the last line gets what the others left over."""
-    last = F.col("line_number") == F.col("line_count")
-    settled = {}
-    for i, (name, amount) in enumerate(amounts.items()):
-        rest = F.col(amount) - F.coalesce(F.col(f"_prior{i}"), F.lit(0).cast(MONEY))
-        settled[name] = F.when(last, rest.cast(MONEY)).otherwise(F.col(f"_part{i}"))
-    return settled
-
-
-def _with_parts(df: DataFrame, weight: str, amounts: Mapping[str, str]) -> DataFrame:
-    df = df.withColumn("line_share", _share(weight))
-    return df.withColumns({f"_part{i}": _rounded(a) for i, a in enumerate(amounts.values())})
+def number_lines_hot(df: DataFrame, group: str, order: Sequence[Column], weight: str) -> DataFrame:
+    """The same columns for a few groups that are each too large for one task.
 
-
-def _weighted(df: DataFrame, weight: str) -> DataFrame:
-    return df.withColumn("_weight", to_decimal(F.col(weight).cast("double"), *EXACT))
+    Lines are numbered by range and totals are partial aggregates, joined back
+    by broadcast. ``df`` must hold only the groups of a HotKeys, which bounds
+    the broadcast to one row for each of them.
+    """
+    lines = number_rows(df, order, "line_number", within=[group])
+    totals = lines.groupBy(F.col(group).alias("_group")).agg(
+        F.count(F.lit(1)).alias("line_count"), F.sum(_exact(weight)).alias("line_total_of_group")
+    )
+    same = F.col(group).eqNullSafe(F.col("_group"))
+    return _with_share(lines.join(F.broadcast(totals), same).drop("_group"), weight)
 
 
 def allocate(
     df: DataFrame, group: str, order: Sequence[Column], weight: str, amounts: Mapping[str, str]
 ) -> DataFrame:
-    """Allocate amounts in proportion to ``weight`` so that each group adds up exactly.
+    """Spread amounts in proportion to ``weight`` so that each group adds up exactly.
 
     ``amounts`` maps each output column to the DECIMAL(18,8) column to spread,
-    which is constant in its group. Also adds ``line_number``, ``line_count``
-    and ``line_share``. A group without weights keeps its amounts on its last
-    line. ``order`` must be total within a group. One shuffle on ``group``.
+    which is constant in its group. Lines get their rounded part, the last line
+    what the others left over; a group without weights keeps its amounts there.
+    ``order`` must be total within a group.
     """
-    ordered = Window.partitionBy(group).orderBy(*order)
-    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    lines = _with_totals(_weighted(df, weight), group)
-    lines = lines.withColumn("line_number", F.row_number().over(ordered).cast("bigint"))
-    lines = _with_parts(lines, weight, amounts)
+    earlier = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    lines = _with_parts(number_lines(df, group, order, weight), amounts)
     lines = lines.withColumns(
         {f"_prior{i}": F.sum(f"_part{i}").over(earlier) for i in range(len(amounts))}
     )
@@ -80,26 +71,26 @@ def allocate(
 def allocate_hot(
     df: DataFrame, group: str, order: Sequence[Column], weight: str, amounts: Mapping[str, str]
 ) -> DataFrame:
-    """The same result for a few groups that are each too large for one task.
-
-    Lines are numbered by range; totals and earlier parts are partial aggregates
-    with one row per group, joined back by broadcast. ``df`` must hold only the
-    groups of a HotKeys, which bounds their number.
-    """
-    lines = number_rows(_weighted(df, weight), order, "line_number", within=[group])
-    same = F.col(group).eqNullSafe(F.col("_group"))
-    totals = lines.groupBy(F.col(group).alias("_group")).agg(
-        F.count(F.lit(1)).alias("line_count"), F.sum("_weight").alias("_total")
-    )
-    lines = _with_parts(lines.join(F.broadcast(totals), same).drop("_group"), weight, amounts)
+    """``allocate`` for the groups of a HotKeys, without a window over any of them."""
+    lines = _with_parts(number_lines_hot(df, group, order, weight), amounts)
     not_last = F.col("line_number") < F.col("line_count")
     priors = lines.groupBy(F.col(group).alias("_group")).agg(
         *[F.sum(F.when(not_last, F.col(f"_part{i}"))).alias(f"_prior{i}") for i in range(len(amounts))]
     )
-    lines = lines.join(F.broadcast(priors), same)
+    lines = lines.join(F.broadcast(priors), F.col(group).eqNullSafe(F.col("_group")))
     return lines.withColumns(_settle(amounts)).select(*df.columns, *ADDED, *amounts)
 
 
+def number_lines_skewed(
+    df: DataFrame, group: str, order: Sequence[Column], weight: str, hot: HotKeys
+) -> DataFrame:
+    """``number_lines`` for all groups but the hot ones, ``number_lines_hot`` for those."""
+    usual = number_lines(hot.cold(df, group), group, order, weight)
+    if not hot:
+        return usual
+    return usual.unionByName(number_lines_hot(hot.hot(df, group), group, order, weight))
+
+
 def allocate_skewed(
     df: DataFrame,
     group: str,
@@ -113,3 +104,31 @@ def allocate_skewed(
     if not hot:
         return usual
     return usual.unionByName(allocate_hot(hot.hot(df, group), group, order, weight, amounts))
+
+
+def _exact(weight: str) -> Column:
+    return to_decimal(F.col(weight).cast("double"), *EXACT)
+
+
+def _with_share(df: DataFrame, weight: str) -> DataFrame:
+    total = F.col("line_total_of_group")
+    share = F.try_divide(F.col(weight).cast("double"), total.cast("double"))
+    return df.withColumn("line_share", F.when(total == 0, F.lit(0.0)).otherwise(share))
+
+
+def _with_parts(df: DataFrame, amounts: Mapping[str, str]) -> DataFrame:
+    return df.withColumns(
+        {
+            f"_part{i}": to_decimal(F.col("line_share") * F.col(a).cast("double"), 18, SCALE)
+            for i, a in enumerate(amounts.values())
+        }
+    )
+
+
+def _settle(amounts: Mapping[str, str]) -> dict[str, Column]:
+    last = F.col("line_number") == F.col("line_count")
+    settled = {}
+    for i, (name, amount) in enumerate(amounts.items()):
+        rest = F.col(amount) - F.coalesce(F.col(f"_prior{i}"), F.lit(0).cast(MONEY))
+        settled[name] = F.when(last, rest.cast(MONEY)).otherwise(F.col(f"_part{i}"))
+    return settled

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kimberlite.functions.calendar import calendar_columns
 from kimberlite.functions.digest import row_hash
 from kimberlite.operators.keys import UNKNOWN_KEY, surrogate_key
 from kimberlite.operators.ordering import ascending
@@ -63,11 +64,25 @@ def build_dimension(body: DataFrame, spec: Dimension) -> DataFrame:
 
 def date_dimension(spark: SparkSession, first: str, last: str) -> DataFrame:
     """One row per day from ``first`` to ``last``, both included."""
-    from kimberlite.functions.calendar import calendar_columns
+    bounds = spark.range(1).select(
+        F.lit(first).cast("date").alias("first"), F.lit(last).cast("date").alias("last")
+    )
+    return _calendar(bounds)
+
+
+def date_dimension_for(df: DataFrame, day: str) -> DataFrame:
+    """One row per day of the years that a date column covers."""
+    covered = df.agg(F.min(day).alias("low"), F.max(day).alias("high"))
+    return _calendar(
+        covered.select(
+            F.make_date(F.year("low"), F.lit(1), F.lit(1)).alias("first"),
+            F.make_date(F.year("high"), F.lit(12), F.lit(31)).alias("last"),
+        )
+    )
+
 
-    days = spark.range(1).select(
-        F.explode(
-            F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"), F.expr("interval 1 day"))
-        ).alias("day")
+def _calendar(bounds: DataFrame) -> DataFrame:
+    days = bounds.select(
+        F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("day")
     )
     return days.select(*calendar_columns(F.col("day")))

@@ -25,6 +25,7 @@ def valid_at(
     start: str,
     end: str,
     columns: Sequence[str],
+    history_key: str | None = None,
     hot: HotKeys | None = None,
 ) -> DataFrame:
     """Left join ``rows`` to every history entry whose closed interval holds ``at``.
@@ -35,7 +36,7 @@ def valid_at(
     cover and joined on (key, day) as well.
     """
     entries = history.select(
-        F.col(key).alias("_h_key"),
+        F.col(history_key or key).alias("_h_key"),
         F.col(start).alias("_h_start"),
         F.col(end).alias("_h_end"),
         *columns,

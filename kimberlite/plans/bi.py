@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kimberlite.functions.exact import to_decimal
 from kimberlite.plans.gold import Tables
 
 PERIOD = ("calendar_year", "calendar_semester", "calendar_quarter", "month_number_of_year")
-MONEY = "decimal(18,4)"
 
 
 def sales_lines(t: Tables, columns: Sequence[str]) -> DataFrame:
@@ -83,7 +83,7 @@ def profitability(
         rows = rows.filter(where)
     totals = rows.groupBy(*by).agg(
         F.sum("sales_amount").cast("decimal(28,4)").alias("sales"),
-        F.coalesce(F.sum(F.col("total_product_cost").cast(MONEY)), F.lit(0))
+        F.coalesce(F.sum(to_decimal(F.col("total_product_cost"), 18, 4)), F.lit(0))
         .cast("decimal(28,4)")
         .alias("cost"),
     )
