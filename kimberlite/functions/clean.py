@@ -36,7 +36,7 @@ def blank_to_null(c: Column | str) -> Column:
 
 def whole(c: Column | str) -> Column:
     """Text to int; ``14.0`` is 14, ``4.5`` rounds away from zero, other text fails."""
-    return F.coalesce(_col(c).try_cast("int"), F.round(_col(c).cast("double")).cast("int"))
+    return F.round(_col(c).cast("double")).cast("int")
 
 
 def number(c: Column | str) -> Column:

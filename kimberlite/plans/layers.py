@@ -40,6 +40,35 @@ class LakeTables:
         return self._lake.read(GOLD, name)
 
 
+def run_in_order(
+    names: Sequence[str],
+    needs: Mapping[str, Sequence[str]],
+    run: Callable[[str], object],
+) -> tuple[dict, dict[str, str]]:
+    """Call ``run`` for every name, inputs first; names whose inputs are done run together.
+
+    Returns the results and, for names that failed or whose input failed, the reason.
+    """
+    done: dict = {}
+    failures: dict[str, str] = {}
+    waiting = list(names)
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        while waiting:
+            lost = [n for n in waiting if any(i in failures for i in needs.get(n, ()))]
+            failures.update(dict.fromkeys(lost, "an input failed"))
+            ready = [n for n in waiting if all(i in done for i in needs.get(n, ()))]
+            if not lost and not ready:
+                raise ValueError(f"inputs of {waiting} are not among the tables to run")
+            started = [(n, pool.submit(run, n)) for n in ready]
+            for name, job in started:
+                try:
+                    done[name] = job.result()
+                except Exception as error:
+                    failures[name] = str(error)
+            waiting = [n for n in waiting if n not in done and n not in failures]
+    return done, failures
+
+
 def run_layer(
     lake: Lake,
     layer: str,
@@ -48,38 +77,19 @@ def run_layer(
 ) -> dict[str, int]:
     """Write every table of a layer and return its row counts.
 
-    Tables whose inputs within the layer are done run together. A table that
-    fails is logged and skipped with everything built on it; one error at the
-    end names all of them.
+    A table that fails is logged and skipped with everything built on it; one
+    error at the end names all of them.
     """
-    needs = needs or {}
-    rows: dict[str, int] = {}
-    failures: dict[str, str] = {}
-    waiting = dict(builders)
 
     def write(name: str) -> int:
         with staging(lake.spark):
-            return lake.overwrite(builders[name](), layer, name)
+            rows = lake.overwrite(builders[name](), layer, name)
+        logger.info("%s.%s: %d rows", layer, name, rows)
+        return rows
 
-    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        while waiting:
-            for name in [n for n in waiting if any(i in failures for i in needs.get(n, ()))]:
-                failures[name] = "an input failed"
-                del waiting[name]
-            ready = [n for n in waiting if all(i in rows for i in needs.get(n, ()))]
-            if waiting and not ready:
-                if any(i in failures for n in waiting for i in needs.get(n, ())):
-                    continue
-                raise ValueError(f"{layer}: inputs of {sorted(waiting)} are not in the layer")
-            started = [(name, pool.submit(write, name)) for name in ready]
-            for name, job in started:
-                del waiting[name]
-                try:
-                    rows[name] = job.result()
-                    logger.info("%s.%s: %d rows", layer, name, rows[name])
-                except Exception as error:
-                    failures[name] = str(error)
-                    logger.error("%s.%s failed: %s", layer, name, error)
+    rows, failures = run_in_order(list(builders), needs or {}, write)
+    for name, reason in failures.items():
+        logger.error("%s.%s failed: %s", layer, name, reason)
     if failures:
         raise LayerFailed(layer, failures, rows)
     return rows
