@@ -19,19 +19,15 @@ def to_decimal(value: Column, precision: int, scale: int) -> Column:
 
 def double_text(value: Column) -> Column:
     """Shortest text of a double: plain digits from 1e-4 up to 1e16, else like ``1e-05``."""
-    plain = value.cast("string")
+    short = value.cast("string")
     size = F.abs(value)
-    long_form = F.rtrim(value.cast("decimal(38,20)").cast("string"), F.lit("0"))
-    long_form = F.when(long_form.endswith("."), F.concat(long_form, F.lit("0"))).otherwise(long_form)
-    mantissa = F.regexp_replace(F.substring_index(plain, "E", 1), r"\.0$", "")
-    power = F.substring_index(plain, "E", -1).try_cast("int")
-    shift = F.abs(power).cast("string")
-    shift = F.when(F.length(shift) < 2, F.concat(F.lit("0"), shift)).otherwise(shift)
-    sign = F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+"))
+    digits = F.regexp_replace(value.cast("decimal(38,20)").cast("string"), r"(\.\d+?)0*$", "$1")
+    power = F.regexp_replace(short, r"(\.0)?E(\d)", "E+$2")
+    power = F.regexp_replace(power, r"(\.0)?E-(\d+)$", "E-0$2")
+    power = F.regexp_replace(power, r"E-0(\d\d)", "E-$1")
+    power = F.lower(F.replace(power, F.lit("inity"), F.lit("")))
     return (
-        F.when(F.isnan(value), F.lit("nan"))
-        .when(size == float("inf"), F.when(value > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-        .when((size == 0) | ((size >= 1e-3) & (size < 1e7)), plain)
-        .when((size >= 1e-4) & (size < 1e16), long_form)
-        .otherwise(F.concat(mantissa, sign, shift))
+        F.when((size == 0) | ((size >= 1e-3) & (size < 1e7)), short)
+        .when((size >= 1e-4) & (size < 1e16), digits)
+        .otherwise(power)
     )
