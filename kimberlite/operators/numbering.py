@@ -13,7 +13,7 @@ from kimberlite.sources.scratch import stage
 
 # monotonically_increasing_id() holds the partition above, the row within it below, this bit.
 _PARTITION_SHIFT = 33
-_AT, _PART, _BEFORE = "_at", "_part", "_before"
+_AT, _BEFORE = "_at", "_before"
 
 
 def number_rows(
@@ -35,19 +35,14 @@ def number_rows(
         "numbered",
     )
     part = F.shiftright(_AT, _PARTITION_SHIFT).cast("int")
-    sizes = placed.groupBy(part.alias(_PART)).count().orderBy(_PART).collect()
-    row_in_part = F.col(_AT).bitwiseAND(F.lit((1 << _PARTITION_SHIFT) - 1)) + 1
+    sizes = dict(placed.groupBy(part).count().collect())
+    position = F.col(_AT).bitwiseAND(F.lit((1 << _PARTITION_SHIFT) - 1)) + 1
     if len(sizes) > 1:
-        # One row per shuffle partition: bounded by spark.sql.shuffle.partitions.
-        before = accumulate((r["count"] for r in sizes[:-1]), initial=0)
-        offsets = df.sparkSession.createDataFrame(
-            [(r[_PART], b) for r, b in zip(sizes, before)], f"{_PART} int, {_BEFORE} bigint"
-        )
-        placed = placed.withColumn(_PART, part).join(F.broadcast(offsets), _PART)
-        position = F.col(_BEFORE) + row_in_part
-    else:
-        position = row_in_part
-    numbered = placed.withColumn(name, position.cast("bigint")).select(*df.columns, name)
+        # One number per shuffle partition: bounded by spark.sql.shuffle.partitions.
+        before = accumulate((sizes.get(i, 0) for i in range(max(sizes))), initial=0)
+        offsets = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
+        position = F.element_at(offsets, part + 1) + position
+    numbered = placed.select(*df.columns, position.cast("bigint").alias(name))
     if not within:
         return numbered
     starts = numbered.groupBy(*[F.col(c).alias(f"_g_{c}") for c in within]).agg(

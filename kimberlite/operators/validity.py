@@ -4,17 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kimberlite.operators.hot import HotKeys, find_hot_keys
+from kimberlite.sources.scratch import stage
 
-# From this many entries for one key, entries are also matched by day.
-HISTORY_ROWS = 10_000
-
-
-def _covers(at: Column, start: Column, end: Column) -> Column:
-    return (at >= start) & (end.isNull() | (at <= end))
+# From this many entries for one key, entries are matched by day as well.
+LONG_HISTORY = 10_000
 
 
 def valid_at(
@@ -26,14 +22,14 @@ def valid_at(
     end: str,
     columns: Sequence[str],
     history_key: str | None = None,
-    hot: HotKeys | None = None,
+    long_history: int = LONG_HISTORY,
 ) -> DataFrame:
     """Left join ``rows`` to every history entry whose closed interval holds ``at``.
 
     ``end`` NULL means open. Most keys have few entries, so an equi-join with the
-    interval test as its condition is enough. A key with a long history would
-    test every entry for every row; its entries are spread over the days they
-    cover and joined on (key, day) as well.
+    interval test as its condition is enough. For a key with a long history that
+    would test every entry for every row; its entries are spread over the days
+    they cover, within the days its rows need, and joined on (key, day).
     """
     entries = history.select(
         F.col(history_key or key).alias("_h_key"),
@@ -41,33 +37,34 @@ def valid_at(
         F.col(end).alias("_h_end"),
         *columns,
     )
-    if hot is None:
-        hot = find_hot_keys(entries, "_h_key", HISTORY_ROWS)
-    hot = hot.without_null()
-    holds = _covers(F.col(at), F.col("_h_start"), F.col("_h_end"))
-    output = [*rows.columns, *columns]
-    joined = (
-        hot.cold(rows, key)
-        .join(hot.cold(entries, "_h_key"), (F.col(key) == F.col("_h_key")) & holds, "left")
-        .select(*output)
+    holds = (F.col(at) >= F.col("_h_start")) & (
+        F.col("_h_end").isNull() | (F.col(at) <= F.col("_h_end"))
     )
-    if not hot:
-        return joined
-    long_rows = hot.hot(rows, key)
+    same_key = F.col(key) == F.col("_h_key")
+    output = [*rows.columns, *columns]
+
+    counted = entries.filter(F.col("_h_key").isNotNull()).groupBy(F.col("_h_key").alias("_long"))
+    long_keys = counted.count().filter(F.col("count") >= long_history).select("_long")
+    if long_keys.isEmpty():
+        return rows.join(entries, same_key & holds, "left").select(*output)
+
+    # At most one key for every ``long_history`` entries.
+    long_keys = stage(long_keys, "long-history")
+    usual = rows.join(long_keys, F.col(key) == F.col("_long"), "left_anti")
+    joined = usual.join(entries, same_key & holds, "left").select(*output)
+
+    long_rows = rows.join(long_keys, F.col(key) == F.col("_long"), "left_semi")
     span = long_rows.agg(
-        F.min(at).cast("date").alias("first"), F.max(at).cast("date").alias("last")
+        F.min(F.col(at).cast("date")).alias("low"), F.max(F.col(at).cast("date")).alias("high")
     ).first()
-    if span["first"] is None:
-        return joined.unionByName(long_rows.join(entries.limit(0), F.lit(True), "left").select(*output))
-    from_day = F.greatest(F.col("_h_start").cast("date"), F.lit(span["first"]))
-    to_day = F.least(F.coalesce(F.col("_h_end").cast("date"), F.lit(span["last"])), F.lit(span["last"]))
+    first_day = F.greatest(F.col("_h_start").cast("date"), F.lit(span["low"]).cast("date"))
+    last_day = F.least(F.col("_h_end").cast("date"), F.lit(span["high"]).cast("date"))
     daily = (
-        hot.hot(entries, "_h_key")
-        .filter(from_day <= to_day)
-        .withColumn("_h_day", F.explode(F.sequence(from_day, to_day)))
+        entries.join(long_keys, F.col("_h_key") == F.col("_long"), "left_semi")
+        .withColumns({"_first": first_day, "_last": last_day})
+        .filter(F.lit(span["low"] is not None) & (F.col("_first") <= F.col("_last")))
+        .withColumn("_day", F.explode(F.sequence("_first", "_last")))
     )
-    same_day = F.col(at).cast("date") == F.col("_h_day")
-    long_joined = long_rows.join(
-        daily, (F.col(key) == F.col("_h_key")) & same_day & holds, "left"
-    ).select(*output)
+    same_day = F.col(at).cast("date") == F.col("_day")
+    long_joined = long_rows.join(daily, same_key & same_day & holds, "left").select(*output)
     return joined.unionByName(long_joined)

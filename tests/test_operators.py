@@ -97,6 +97,7 @@ def test_find_hot_keys(spark):
     assert hot.hot(nulls, "k").count() == 3000
     assert hot.cold(nulls, "k").count() == 6000
     assert not hot.without_null()
+    assert not find_hot_keys(df.filter("k < 0"), "k")
 
 
 def test_left_join_many_is_the_left_join(spark):
@@ -166,8 +167,8 @@ def test_valid_at_bounds_and_overlaps(spark):
          (8, None), (9, None)], key=repr,
     )
     args = dict(key="p", at="d", start="s", end="e", columns=["cost"])
-    for hot in (HotKeys(), HotKeys((1, 2, 3)), HotKeys((2, None)), HotKeys((3,))):
-        found = valid_at(rows, history(spark), hot=hot, **args).select("id", "cost")
+    for long_history in (100, 2, 1):
+        found = valid_at(rows, history(spark), long_history=long_history, **args).select("id", "cost")
         assert rows_of(found) == wanted
 
 
@@ -189,7 +190,7 @@ def test_valid_at_long_history_against_brute_force(spark):
     right = spark.createDataFrame(entries, "p int, s timestamp_ntz, e timestamp_ntz, cost double")
     found = valid_at(
         left, right, key="p", at="t", start="s", end="e", columns=["cost"],
-        hot=find_hot_keys(right, "p", rows=200),
+        long_history=200,
     )
     assert rows_of(found.select("id", "cost")) == sorted(wanted, key=repr)
 
