@@ -13,9 +13,9 @@ from kimberlite.functions import clean
 from kimberlite.functions.calendar import smart_date_key
 from kimberlite.functions.digest import row_hash
 from kimberlite.functions.exact import to_decimal
-from kimberlite.operators.allocate import EXACT, allocate_skewed, number_lines_skewed
+from kimberlite.operators.allocate import EXACT, allocate_parts, number_line_parts
 from kimberlite.operators.dimension import Dimension, build_dimension, date_dimension_for
-from kimberlite.operators.hot import HotKeys, find_hot_keys, left_join_many
+from kimberlite.operators.hot import find_hot_keys, left_join_parts
 from kimberlite.operators.keys import lookup_key, surrogate_key
 from kimberlite.operators.ordering import ascending, descending
 from kimberlite.operators.pick import any_by, first_by, latest_by
@@ -507,16 +507,17 @@ def gold_top1_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------- lines of an order
 
-def order_lines(spark: SparkSession, sf_dir: str, *columns: str) -> tuple[DataFrame, HotKeys]:
-    """Orders left join their lines, with the orders too large for one task."""
+def order_lines(
+    spark: SparkSession, sf_dir: str, *columns: str
+) -> tuple[DataFrame, DataFrame | None]:
+    """Orders left join their lines; orders too large for one task come as a second part."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"), "o_custkey", "o_orderdate", "o_totalprice"
     )
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), *LINE_ORDER, *columns
     )
-    hot = find_hot_keys(lines, "order_id")
-    return left_join_many(orders, lines, "order_id", hot), hot
+    return left_join_parts(orders, lines, "order_id", find_hot_keys(lines, "order_id"))
 
 
 _ORDER_LINES = """
@@ -532,8 +533,8 @@ _ORDER_LINES = """
 
 
 def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, hot = order_lines(spark, sf_dir)
-    return number_lines_skewed(rows, "order_id", ascending(*LINE_ORDER), "l_extendedprice", hot)
+    usual, heavy = order_lines(spark, sf_dir)
+    return number_line_parts(usual, heavy, "order_id", ascending(*LINE_ORDER), "l_extendedprice")
 
 
 @query(
@@ -563,11 +564,13 @@ def _allocation_sql(amount: str, name: str) -> str:
 
 
 def _allocated(spark: SparkSession, sf_dir: str, factor: float, name: str) -> DataFrame:
-    rows, hot = order_lines(spark, sf_dir)
     amount = F.col("o_totalprice") * factor if factor != 1 else F.col("o_totalprice")
-    rows = rows.withColumn("_amount", to_decimal(amount, *EXACT))
+    usual, heavy = (
+        part and part.withColumn("_amount", to_decimal(amount, *EXACT))
+        for part in order_lines(spark, sf_dir)
+    )
     order = ascending(*LINE_ORDER)
-    done = allocate_skewed(rows, "order_id", order, "l_extendedprice", {name: "_amount"}, hot)
+    done = allocate_parts(usual, heavy, "order_id", order, "l_extendedprice", {name: "_amount"})
     return done.select("order_id", "line_number", name)
 
 
@@ -757,33 +760,37 @@ FACT_HASHED = [
 )
 def gold_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders and lines as a fact: cost at the order date, allocated amounts, keys, hash."""
-    rows, hot = order_lines(spark, sf_dir, "l_quantity")
     total = F.col("o_totalprice")
-    rows = rows.withColumns(
-        {
-            "order_date": F.col("o_orderdate").cast("date"),
-            "_sales": to_decimal(total, *EXACT),
-            "_tax": to_decimal(total * 0.08, *EXACT),
-            "_freight": to_decimal(total * 0.025, *EXACT),
-        }
-    )
-    rows = valid_at(
-        rows,
-        cost_history(spark, sf_dir),
-        key="l_partkey",
-        history_key="part_id",
-        at="order_date",
-        start="start_date",
-        end="end_date",
-        columns=["cost"],
-    )
-    rows = allocate_skewed(
-        rows,
+    history = cost_history(spark, sf_dir)
+
+    def with_cost(part: DataFrame) -> DataFrame:
+        part = part.withColumns(
+            {
+                "order_date": F.col("o_orderdate").cast("date"),
+                "_sales": to_decimal(total, *EXACT),
+                "_tax": to_decimal(total * 0.08, *EXACT),
+                "_freight": to_decimal(total * 0.025, *EXACT),
+            }
+        )
+        return valid_at(
+            part,
+            history,
+            key="l_partkey",
+            history_key="part_id",
+            at="order_date",
+            start="start_date",
+            end="end_date",
+            columns=["cost"],
+        )
+
+    usual, heavy = (p and with_cost(p) for p in order_lines(spark, sf_dir, "l_quantity"))
+    rows = allocate_parts(
+        usual,
+        heavy,
         "order_id",
         ascending(*LINE_ORDER),
         "l_extendedprice",
         {"sales_amount": "_sales", "tax_amount": "_tax", "freight": "_freight"},
-        hot,
     )
     rows = lookup_key(rows, dim_part(spark, sf_dir), {"l_partkey": "part_id"}, "part_key")
     rows = lookup_key(rows, dim_customer(spark, sf_dir), {"o_custkey": "customer_id"}, "customer_key")

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kimberlite.functions.exact import to_decimal
-from kimberlite.operators.hot import HotKeys
 from kimberlite.operators.numbering import number_rows
 
 EXACT = (18, 8)
@@ -81,29 +80,33 @@ def allocate_hot(
     return lines.withColumns(_settle(amounts)).select(*df.columns, *ADDED, *amounts)
 
 
-def number_lines_skewed(
-    df: DataFrame, group: str, order: Sequence[Column], weight: str, hot: HotKeys
+def number_line_parts(
+    usual: DataFrame,
+    heavy: DataFrame | None,
+    group: str,
+    order: Sequence[Column],
+    weight: str,
 ) -> DataFrame:
-    """``number_lines`` for all groups but the hot ones, ``number_lines_hot`` for those."""
-    usual = number_lines(hot.cold(df, group), group, order, weight)
-    if not hot:
-        return usual
-    return usual.unionByName(number_lines_hot(hot.hot(df, group), group, order, weight))
+    """``number_lines`` for the usual groups and ``number_lines_hot`` for the hot ones, if any."""
+    numbered = number_lines(usual, group, order, weight)
+    if heavy is None:
+        return numbered
+    return numbered.unionByName(number_lines_hot(heavy, group, order, weight))
 
 
-def allocate_skewed(
-    df: DataFrame,
+def allocate_parts(
+    usual: DataFrame,
+    heavy: DataFrame | None,
     group: str,
     order: Sequence[Column],
     weight: str,
     amounts: Mapping[str, str],
-    hot: HotKeys,
 ) -> DataFrame:
-    """``allocate`` for all groups but the hot ones, ``allocate_hot`` for those."""
-    usual = allocate(hot.cold(df, group), group, order, weight, amounts)
-    if not hot:
-        return usual
-    return usual.unionByName(allocate_hot(hot.hot(df, group), group, order, weight, amounts))
+    """``allocate`` for the usual groups and ``allocate_hot`` for the hot ones, if any."""
+    spread = allocate(usual, group, order, weight, amounts)
+    if heavy is None:
+        return spread
+    return spread.unionByName(allocate_hot(heavy, group, order, weight, amounts))
 
 
 def _exact(weight: str) -> Column:

@@ -59,18 +59,27 @@ def find_hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> HotKeys:
     return HotKeys(tuple(i["item"] for i in items if i["count"] >= rows))
 
 
-def left_join_many(
+def left_join_parts(
     one: DataFrame, many: DataFrame, key: str, hot: HotKeys = HotKeys()
-) -> DataFrame:
-    """``one`` left join ``many`` on ``key``, where ``key`` is unique in ``one``.
+) -> tuple[DataFrame, DataFrame | None]:
+    """``one`` left join ``many``, where ``key`` is unique in ``one``: usual rows and hot rows.
 
     A left join cannot split a large group on its right side. Rows of hot keys
     therefore stay where they are and meet their single left row by broadcast:
-    at most one row per hot key, and a hot key always has matches.
+    at most one row per hot key, and a hot key always has matches. Without hot
+    keys the second part is None.
     """
     hot = hot.without_null()
-    joined = hot.cold(one, key).join(hot.cold(many, key), key, "left")
+    usual = hot.cold(one, key).join(hot.cold(many, key), key, "left")
     if not hot:
-        return joined
+        return usual, None
     heavy = hot.hot(many, key).join(F.broadcast(hot.hot(one, key)), key)
-    return joined.unionByName(heavy)
+    return usual, heavy.select(*usual.columns)
+
+
+def left_join_many(
+    one: DataFrame, many: DataFrame, key: str, hot: HotKeys = HotKeys()
+) -> DataFrame:
+    """Both parts of ``left_join_parts`` together."""
+    usual, heavy = left_join_parts(one, many, key, hot)
+    return usual if heavy is None else usual.unionByName(heavy)

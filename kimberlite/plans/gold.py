@@ -14,7 +14,7 @@ from kimberlite.functions.digest import row_hash
 from kimberlite.functions.exact import to_decimal
 from kimberlite.operators.allocate import EXACT, allocate, allocate_hot
 from kimberlite.operators.dimension import Dimension, build_dimension, date_dimension, load_times
-from kimberlite.operators.hot import find_hot_keys, left_join_many
+from kimberlite.operators.hot import find_hot_keys, left_join_many, left_join_parts
 from kimberlite.operators.keys import UNKNOWN_KEY, lookup_key
 from kimberlite.operators.ordering import ascending, descending
 from kimberlite.operators.pick import first_by
@@ -531,20 +531,9 @@ def _order_keys(t: Tables, header: DataFrame) -> DataFrame:
     return rows.drop("customer_id", "currency_rate_id", "to_currency_code", "territory_id")
 
 
-def _order_lines(
-    amounts: DataFrame, keys: DataFrame, detail: DataFrame, costs: DataFrame, hot: bool
-) -> DataFrame:
-    """Lines of the given orders with cost, allocated amounts and order attributes.
-
-    The cost join comes before the windows: overlapping cost intervals repeat a
-    line, and repeated lines take part in the allocation. Hot orders are few and
-    known, so their header rows are broadcast instead of shuffling their lines.
-    """
-    if hot:
-        lines = detail.join(F.broadcast(amounts), "sales_order_id")
-    else:
-        lines = amounts.join(detail, "sales_order_id", "left")
-    lines = valid_at(
+def _with_cost(lines: DataFrame, costs: DataFrame) -> DataFrame:
+    """Cost at the order date. Overlapping intervals repeat a line before it is allocated."""
+    return valid_at(
         lines,
         costs.withColumn("_cost_start", F.col("start_date")),
         key="product_id",
@@ -553,22 +542,19 @@ def _order_lines(
         end="end_date",
         columns=["standard_cost", "_cost_start"],
     )
-    spread = allocate_hot if hot else allocate
-    lines = spread(
-        lines,
-        "sales_order_id",
-        ascending("sales_order_detail_id", "_cost_start"),
-        "line_total",
-        _SPREAD,
-    )
-    return lines.join(F.broadcast(keys) if hot else keys, "sales_order_id")
 
 
 def fact_internet_sales(t: Tables) -> DataFrame:
-    """Online order lines with dimension keys; header amounts are spread over the lines."""
+    """Online order lines with dimension keys; header amounts are spread over the lines.
+
+    Lines are shuffled by order once: the join with the header, the windows and
+    the join with the order's keys share that partitioning. Orders too large for
+    one task are handled apart, with their few header rows broadcast.
+    """
+    order = "sales_order_id"
     header = t.silver("sales_order_header").filter(F.col("is_online_order"))
     detail = t.silver("sales_order_detail").select(
-        "sales_order_id",
+        order,
         "sales_order_detail_id",
         "carrier_tracking_number",
         "order_quantity",
@@ -579,18 +565,16 @@ def fact_internet_sales(t: Tables) -> DataFrame:
         "line_total",
     )
     costs = t.silver("production_product_cost_history")
-    hot = find_hot_keys(detail, "sales_order_id").without_null()
-    amounts, keys = _order_amounts(header), _order_keys(t, header)
-    order = "sales_order_id"
-    lines = _order_lines(
-        hot.cold(amounts, order), hot.cold(keys, order), hot.cold(detail, order), costs, False
-    )
-    if hot:
-        lines = lines.unionByName(
-            _order_lines(
-                hot.hot(amounts, order), hot.hot(keys, order), hot.hot(detail, order), costs, True
-            )
-        )
+    hot = find_hot_keys(detail, order).without_null()
+    usual, heavy = left_join_parts(_order_amounts(header), detail, order, hot)
+    keys = _order_keys(t, header)
+    by_line = ascending("sales_order_detail_id", "_cost_start")
+
+    lines = allocate(_with_cost(usual, costs), order, by_line, "line_total", _SPREAD)
+    lines = lines.join(hot.cold(keys, order), order)
+    if heavy is not None:
+        heavy = allocate_hot(_with_cost(heavy, costs), order, by_line, "line_total", _SPREAD)
+        lines = lines.unionByName(heavy.join(F.broadcast(hot.hot(keys, order)), order))
     products = lookup_key(
         t.silver("production_product").select("product_id", "product_number"),
         t.gold("dim_product"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kimberlite.functions.exact import to_decimal
 from kimberlite.operators import hot as hot_module
-from kimberlite.operators.allocate import allocate, allocate_hot, allocate_skewed, number_lines_skewed
+from kimberlite.operators.allocate import allocate, allocate_hot, allocate_parts, number_line_parts
 from kimberlite.operators.dimension import Dimension, build_dimension
 from kimberlite.operators.hot import HotKeys, find_hot_keys, left_join_many
 from kimberlite.operators.keys import lookup_key, surrogate_key
@@ -229,11 +229,12 @@ def test_hot_orders_get_the_same_amounts(spread):
     usual = allocate(df, "o", ascending("l"), "w", {"a": "total"})
     hot = find_hot_keys(df, "o", rows=500)
     assert hot.values == (1,)
-    split = allocate_skewed(df, "o", ascending("l"), "w", {"a": "total"}, hot)
+    parts = hot.cold(df, "o"), hot.hot(df, "o")
+    split = allocate_parts(*parts, "o", ascending("l"), "w", {"a": "total"})
     assert rows_of(split) == rows_of(usual)
     sums = split.groupBy("o").agg(F.sum("a").alias("s"), F.first("total").alias("t")).collect()
     assert all(abs(r.s - r.t) < Decimal("0.0001") for r in sums)
-    numbered = number_lines_skewed(df, "o", ascending("l"), "w", hot)
+    numbered = number_line_parts(*parts, "o", ascending("l"), "w")
     assert rows_of(numbered.select("o", "l", "line_number", "line_count")) == rows_of(
         usual.select("o", "l", "line_number", "line_count")
     )
