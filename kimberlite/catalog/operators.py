@@ -551,6 +551,20 @@ def gold_order_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _numbered(spark, sf_dir).select("order_id", "line_number", "line_share")
 
 
+@query(
+    "gold_line_changed_at",
+    """SELECT o_orderkey AS order_id, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+              CASE WHEN l_shipdate > o_orderdate THEN l_shipdate ELSE o_orderdate END AS changed_at
+       FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey""",
+)
+def gold_line_changed_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later of the order's and the line's time; an order without lines keeps its own."""
+    usual, heavy = order_lines(spark, sf_dir, "l_shipdate")
+    rows = usual if heavy is None else usual.unionByName(heavy)
+    changed = F.greatest("o_orderdate", "l_shipdate").alias("changed_at")
+    return rows.select("order_id", *LINE_ORDER, changed)
+
+
 def _allocation_sql(amount: str, name: str) -> str:
     header = f"CAST({amount} AS DECIMAL(18, 8))"
     return f"""

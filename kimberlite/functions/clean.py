@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from kimberlite.functions.exact import nearest
+
 # The space separators that the SQL side's TRIM strips.
 BLANKS = (
     "\u0020\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
@@ -36,7 +38,7 @@ def blank_to_null(c: Column | str) -> Column:
 
 def whole(c: Column | str) -> Column:
     """Text to int; ``14.0`` is 14, ``4.5`` rounds away from zero, other text fails."""
-    return F.round(_col(c).cast("double")).cast("int")
+    return nearest(_col(c).cast("double")).cast("int")
 
 
 def number(c: Column | str) -> Column:

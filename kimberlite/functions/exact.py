@@ -8,12 +8,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def nearest(value: Column) -> Column:
+    """Double rounded to the nearest whole number, halves away from zero.
+
+    The same as ``round`` but in plain double arithmetic, several times faster.
+    """
+    even = F.rint(value)
+    half = F.abs(value - even) == 0.5
+    return F.when(half, value + F.signum(value) * 0.5).otherwise(even)
+
+
 def to_decimal(value: Column, precision: int, scale: int) -> Column:
     """Double to DECIMAL(precision, scale), rounding the scaled double half away from zero.
 
     A plain cast rounds the decimal text of the double instead, which differs on ties.
     """
-    units = F.round(value * F.lit(float(10**scale))).cast("bigint").cast("decimal(19,0)")
+    units = nearest(value * F.lit(float(10**scale))).cast("bigint").cast("decimal(18,0)")
     return (units * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal({precision},{scale})")
 
 

@@ -6,6 +6,7 @@ import logging
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from kimberlite.plans import gold, silver
@@ -87,7 +88,7 @@ def run_layer(
         logger.info("%s.%s: %d rows", layer, name, rows)
         return rows
 
-    rows, failures = run_in_order(list(builders), needs or {}, write)
+    rows, failures = run_in_order(list(builders), needs or {}, inheritable_thread_target(lake.spark)(write))
     for name, reason in failures.items():
         logger.error("%s.%s failed: %s", layer, name, reason)
     if failures:
