@@ -8,9 +8,8 @@ import duckdb
 import pytest
 from conftest import SF_DIR, physical_plan
 
-from __spark_entry__ import entry, oracle_sql, queries
-
-QUERIES, ORACLES = queries(), oracle_sql()
+from __spark_entry__ import entry
+from kimberlite.catalog.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
