@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kimberlite.catalog.registry import table
+from kimberlite.llm import language, toxicity
+from kimberlite.llm.decontaminate import contamination
+from kimberlite.llm.mixing import mix
 from kimberlite.llm.near_dups import near_duplicates
+from kimberlite.llm.shipping import ship
+from kimberlite.llm.token_files import read_tokens, write_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,7 +24,12 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
-        QUERIES[name] = run
+        @functools.wraps(run)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return run(spark, sf_dir)
+
+        QUERIES[name] = shipped
         if sql is not None:
             ORACLES[name] = sql
         return run
@@ -29,3 +40,60 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @query("op7_near_duplicates")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
+
+
+@query("op1_benchmark_contamination")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), span_words=10)
+    n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["last"] - s["first"] + 1)
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+@query("op2_source_mix")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"))
+    return mixed.select(
+        "doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
+    )
+
+
+@query("op5_language")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = _held_out(5, 0)
+    model = language.fit(docs.filter(~held_out))
+    return language.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_token_files")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listing = write_tokens(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return read_tokens(listing)
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = _held_out(3, 1)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", predicted, "passages")
+
+
+def _held_out(folds: int, which: int) -> Column:
+    """Whether the document's fold is the one held out; one without an id always is."""
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
+    return F.coalesce(fold == which, F.lit(True))
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -82,13 +82,18 @@ class Words:
         return len(self.first) - 1
 
 
-def words_of(texts: list[bytes], word_bytes: np.ndarray) -> Words:
+def words_of(texts: list[bytes], word_bytes: np.ndarray, kinds: np.ndarray | None = None) -> Words:
+    """The runs of ``word_bytes``; with ``kinds``, also cut between bytes of kinds 1 and 2."""
     data = np.frombuffer(b"\n" + b"\n".join(texts) + b"\n", np.uint8)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     base = np.cumsum(lengths + 1) - lengths
     inside = word_bytes[data]
     edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     start, end = edges[0::2], edges[1::2]
+    if kinds is not None:
+        kind = kinds[data]
+        cuts = np.flatnonzero(kind[1:] + kind[:-1] == 3) + 1
+        start, end = np.sort(np.append(start, cuts)), np.sort(np.append(end, cuts))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE_VALUES[data] * _power("up", len(data)), out=sums[1:])
     hashes = mix((sums[end] - sums[start]) * _power("down", len(data))[start])
