@@ -8,8 +8,9 @@ Verification is on the full shingle sets. A bucket is worked in two turns:
    bucket of n gives n - 1 pairs. Verified links are joined into components.
 2. In buckets that still hold several components, documents are dealt into
    blocks and blocks compared with blocks, each pair of blocks a group of its
-   own. Pairs across components whose signatures agree often enough are
-   verified as well; one pair is given out by one bucket only.
+   own. Documents whose signatures agree often enough with one of another
+   component meet again with their sets, and the links that join components are
+   given out; pairs are not. One pair is worked on in one bucket only.
 
 No bucket is cut or skipped and no group meets in one task. A link is missed
 only if no band agrees or the signatures agree far less than the sets do; at the
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from kimberlite.llm.graph import components
 from kimberlite.llm.rows import runs
-from kimberlite.llm.staged import result
+from kimberlite.llm.staged import broadcast_if_few, result
 from kimberlite.llm.superminhash import band_keys, signatures
 from kimberlite.llm.words import BLANK_SEPARATED, blocks, grams, mix, starts_inside, words_of
 from kimberlite.sources.scratch import stage
@@ -161,7 +162,7 @@ def _links(texts: DataFrame, sketches: DataFrame, n: int, percent: int, places:
     first_links = stage(_verified(texts, stars, n, percent), "links")
     known = components(first_links).withColumnRenamed("node", "id")
     labelled = buckets.join(known, "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("component")
+        "key", "first", "id", F.coalesce("component", "id").alias("component")
     )
     mixed = (
         labelled.groupBy("key")
@@ -169,65 +170,97 @@ def _links(texts: DataFrame, sketches: DataFrame, n: int, percent: int, places:
         .filter("low < high and n > 2")  # of two, the first turn has compared all
         .select("key", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("n_blocks"))
     )
-    rest = _across(labelled.join(mixed, "key"), sketches, percent, places)
-    rest = stage(rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    return first_links.unionByName(_verified(texts, rest, n, percent))
+    return first_links.unionByName(_across(texts, labelled.join(mixed, "key"), sketches, n, percent, places))
 
 
-def _across(buckets: DataFrame, sketches: DataFrame, percent: int, places: int) -> DataFrame:
-    """Pairs of one bucket and different components that may be similar enough."""
+def _across(
+    texts: DataFrame, buckets: DataFrame, sketches: DataFrame, n: int, percent: int, places: int
+) -> DataFrame:
+    """Links between different components of a bucket, without those to its first document."""
     dealt = buckets.withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))
     partner = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
-    met = (
-        dealt.withColumn("partner", partner)
-        .select(
-            "key",
-            F.least("block", "partner").alias("low"),
-            F.greatest("block", "partner").alias("high"),
-            F.col("block").cast("int").alias("block"),
-            "id",
-            "component",
-        )
-        .join(sketches, "id")
+    met = dealt.withColumn("partner", partner).select(
+        "key",
+        F.least("block", "partner").alias("low"),
+        F.greatest("block", "partner").alias("high"),
+        "block",
+        "id",
+        "component",
+        "first",
     )
     similarity = percent / 100
     slack = _DEVIATIONS * (similarity * (1 - similarity) / places) ** 0.5
     least = int(np.floor((similarity - slack) * places))
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(batches, ["key", "low", "high"]):
-            key = run.column("key")[0].as_py()
-            ids, component, size, block = (
-                run.column(c).to_numpy() for c in ("id", "component", "n_shingles", "block")
-            )
-            signature = np.frombuffer(b"".join(run.column("signature").to_pylist()), np.uint8)
-            signature = signature.reshape(len(ids), -1)
-            keys = run.column("keys").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-            low = run.column("low")[0].as_py() == block
-            own = run.column("low")[0].as_py() == run.column("high")[0].as_py()
-            left = np.flatnonzero(low)
-            right = left if own else np.flatnonzero(~low)
-            found_a, found_b = [], []
-            for i in left:
-                other = right[(component[right] != component[i]) & ((ids[right] > ids[i]) | (not own))]
-                small, large = np.minimum(size[other], size[i]), np.maximum(size[other], size[i])
-                other = other[100 * small >= percent * large]
-                other = other[(signature[other] == signature[i]).sum(axis=1) >= least]
-                # The first band that both share gives the pair out.
-                other = other[keys[i][(keys[other] == keys[i]).argmax(axis=1)] == key]
-                found_a.append(np.minimum(ids[i], ids[other]))
-                found_b.append(np.maximum(ids[i], ids[other]))
-            if found_a:
-                a, b = np.concatenate(found_a), np.concatenate(found_b)
+    group = ["key", "low", "high"]
+    rows = [*group, "block", "id", "component", "first"]
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of a group that may have a link in it."""
+        for run in runs(batches, group):
+            found = [np.append(other, i) for i, other in _candidates(run, percent, least) if len(other)]
+            if found:
+                yield from run.select(rows).take(np.unique(np.concatenate(found))).to_batches()
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links that join components of a group, enough of them to join all that are linked."""
+        for run in runs(batches, group):
+            ids, component = run.column("id").to_numpy(), run.column("component").to_pylist()
+            sets = [np.frombuffer(v.as_py(), np.uint64) for v in run.column("held")]
+            joined = {c: c for c in component}
+
+            def root(c: int) -> int:
+                while joined[c] != c:
+                    c = joined[c]
+                return c
+
+            links = []
+            for i, other in _candidates(run, percent, least):
+                for j in other.tolist():
+                    one, two = root(component[i]), root(component[j])
+                    if one != two and similar(sets[i], sets[j], percent):
+                        joined[max(one, two)] = min(one, two)
+                        links.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+            if links:
+                a, b = map(np.array, zip(*links))
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    dealt_out = met.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    return dealt_out.mapInArrow(pairs, "a bigint, b bigint").distinct()
+    def dealt_out(df: DataFrame) -> DataFrame:
+        return df.repartition(*group).sortWithinPartitions(*group)
 
+    kinds = "key bigint, low int, high int, block int, id bigint, component bigint, first bigint"
+    close = stage(dealt_out(met.join(sketches, "id")).mapInArrow(near, kinds), "close")
+    held = _sets(texts, close.select("id").distinct(), n)
+    complete = close.join(sketches, "id").join(held, "id")
+    return dealt_out(complete).mapInArrow(confirm, "a bigint, b bigint").distinct()
+
+
+def _candidates(run: pa.Table, percent: int, least: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row, the later ones of another component that may be similar enough."""
+    key, first = run.column("key")[0].as_py(), run.column("first")[0].as_py()
+    ids, component, size, block = (run.column(c).to_numpy() for c in ("id", "component", "n_shingles", "block"))
+    signature = np.frombuffer(b"".join(run.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
+    keys = run.column("keys").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+    low = run.column("low")[0].as_py() == block
+    own = run.column("low")[0].as_py() == run.column("high")[0].as_py()
+    left = np.flatnonzero(low & (ids != first))
+    right = np.flatnonzero((low if own else ~low) & (ids != first))
+    for i in left:
+        other = right[(component[right] != component[i]) & ((ids[right] > ids[i]) | (not own))]
+        small, large = np.minimum(size[other], size[i]), np.maximum(size[other], size[i])
+        other = other[100 * small >= percent * large]
+        other = other[(signature[other] == signature[i]).sum(axis=1) >= least]
+        # The first band that both share works on the pair.
+        yield i, other[keys[i][(keys[other] == keys[i]).argmax(axis=1)] == key]
 
-def _verified(texts: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+
+def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    """Whether two sets of distinct values are linked."""
+    common = len(np.intersect1d(one, two, assume_unique=True))
+    return common > 0 and 100 * common >= percent * (len(one) + len(two) - common)
+
+
+def _sets(texts: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """The shingle sets of the documents with the ``wanted`` ids."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,18 +273,24 @@ def _verified(texts: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataF
                     names=["id", "held"],
                 )
 
-    held = stage(texts.join(wanted, "id", "left_semi").mapInArrow(sets, "id bigint, held binary"), "sets")
+    few = broadcast_if_few(stage(wanted, "wanted"))
+    return stage(texts.join(few, "id", "left_semi").mapInArrow(sets, "id bigint, held binary"), "sets")
+
+
+def _verified(texts: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs whose full shingle sets are similar enough."""
+    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    held = _sets(texts, wanted, n)
     one = held.select(F.col("id").alias("a"), F.col("held").alias("held_a"))
     two = held.select(F.col("id").alias("b"), F.col("held").alias("held_b"))
 
-    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("held_a"), batch.column("held_b")):
-                p, q = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                common = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(common > 0 and 100 * common >= percent * (len(p) + len(q) - common))
+            sets = [
+                [np.frombuffer(v.as_py(), np.uint64) for v in batch.column(c)] for c in ("held_a", "held_b")
+            ]
+            keep = [similar(p, q, percent) for p, q in zip(*sets)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     compared = pairs.join(one, "a").join(two, "b").select("a", "b", "held_a", "held_b")
-    return compared.mapInArrow(similar, "a bigint, b bigint").distinct()
+    return compared.mapInArrow(confirm, "a bigint, b bigint").distinct()

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kimberlite.sources.scratch import scratch_root, staging
 
@@ -20,3 +21,12 @@ def result(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
         made = make()
         made.write.parquet(path)
     return spark.read.schema(made.schema).parquet(path)
+
+
+#: Rows of a few plain columns that are broadcast at most.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_few(staged: DataFrame) -> DataFrame:
+    """The staged table, marked for broadcast if its rows are counted to be few; else it is shuffled."""
+    return F.broadcast(staged) if staged.count() <= BROADCAST_ROWS else staged
