@@ -15,6 +15,7 @@ from kimberlite.llm.mixing import mix
 from kimberlite.llm.near_dups import near_duplicates
 from kimberlite.llm.shipping import ship
 from kimberlite.llm.token_files import read_tokens, write_tokens
+from kimberlite.llm.vector_dups import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,3 +98,8 @@ def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+@query("op4_near_vectors")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), least_cosine=0.9)
