@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from kimberlite.catalog.registry import table
 from kimberlite.llm import language, toxicity
+from kimberlite.llm.chunk_dedup import drop_repeated_chunks
 from kimberlite.llm.decontaminate import contamination
 from kimberlite.llm.mixing import mix
 from kimberlite.llm.near_dups import near_duplicates
 from kimberlite.llm.shipping import ship
 from kimberlite.llm.token_files import read_tokens, write_tokens
+from kimberlite.llm.unit_dedup import drop_repeated_units
 from kimberlite.llm.vector_dups import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +105,21 @@ def tokenizer_path(name: str) -> str:
 @query("op4_near_vectors")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), least_cosine=0.9)
+
+
+@query("op9_repeated_units")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dedup_result(drop_repeated_units(table(spark, sf_dir, "documents")))
+
+
+@query("op10_repeated_chunks")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dedup_result(drop_repeated_chunks(table(spark, sf_dir, "documents")))
+
+
+def _dedup_result(found: DataFrame) -> DataFrame:
+    n_removed = F.size("removed").cast("bigint")
+    n_bytes = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, r: n + r["end"] - r["begin"])
+    return found.select(
+        "doc_id", "text", "n_parts", n_removed.alias("n_removed"), n_bytes.alias("bytes_removed"), "removed"
+    )

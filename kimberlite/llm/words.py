@@ -30,6 +30,8 @@ def _table(pattern_excluded: list[tuple[int, int]]) -> np.ndarray:
 
 #: Bytes of words ``[^\x20\x09-\x0D]+``.
 BLANK_SEPARATED = _table([(0x20, 0x20), (0x09, 0x0D)])
+#: Bytes of lines.
+NO_LINE_END = _table([(0x0A, 0x0A)])
 #: Bytes of words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` once A-Z are lowered.
 ALPHANUMERIC = _table([(0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F)])
 
@@ -43,13 +45,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _byte_values() -> np.ndarray:
-    values = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
-    values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
-    return values
-
-
-_BYTE_VALUES = _byte_values()
+_EXACT = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
+_FOLDED = _EXACT.copy()
+_FOLDED[ord("A") : ord("Z") + 1] = _EXACT[ord("a") : ord("z") + 1]
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
@@ -82,8 +80,13 @@ class Words:
         return len(self.first) - 1
 
 
-def words_of(texts: list[bytes], word_bytes: np.ndarray, kinds: np.ndarray | None = None) -> Words:
-    """The runs of ``word_bytes``; with ``kinds``, also cut between bytes of kinds 1 and 2."""
+def words_of(
+    texts: list[bytes], word_bytes: np.ndarray, kinds: np.ndarray | None = None, exact: bool = False
+) -> Words:
+    """The runs of ``word_bytes``; with ``kinds``, also cut between bytes of kinds 1 and 2.
+
+    With ``exact``, hashes tell A-Z from a-z.
+    """
     data = np.frombuffer(b"\n" + b"\n".join(texts) + b"\n", np.uint8)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     base = np.cumsum(lengths + 1) - lengths
@@ -95,7 +98,7 @@ def words_of(texts: list[bytes], word_bytes: np.ndarray, kinds: np.ndarray | Non
         cuts = np.flatnonzero(kind[1:] + kind[:-1] == 3) + 1
         start, end = np.sort(np.append(start, cuts)), np.sort(np.append(end, cuts))
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * _power("up", len(data)), out=sums[1:])
+    np.cumsum((_EXACT if exact else _FOLDED)[data] * _power("up", len(data)), out=sums[1:])
     hashes = mix((sums[end] - sums[start]) * _power("down", len(data))[start])
     first = np.searchsorted(start, np.append(base, len(data)))
     doc = np.repeat(np.arange(len(texts)), np.diff(first))
@@ -135,3 +138,10 @@ def starts_inside(words: Words, n: int) -> np.ndarray:
     if count <= 0:
         return np.empty(0, bool)
     return words.doc[:count] == words.doc[n - 1 :]
+
+
+def stretches(hashes: np.ndarray, first: np.ndarray, beyond: np.ndarray) -> np.ndarray:
+    """Hash of the words from ``first`` up to ``beyond``, for stretches of any length."""
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * _power("up", len(hashes)), out=sums[1:])
+    return mix((sums[beyond] - sums[first]) * _power("down", len(hashes) + 1)[first])
