@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kimberlite.catalog.registry import table
-from kimberlite.llm import language, toxicity
+from kimberlite.llm import language, language_model, toxicity
 from kimberlite.llm.chunk_dedup import drop_repeated_chunks
 from kimberlite.llm.decontaminate import contamination
 from kimberlite.llm.mixing import mix
@@ -123,3 +123,20 @@ def _dedup_result(found: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", "text", "n_parts", n_removed.alias("n_removed"), n_bytes.alias("bytes_removed"), "removed"
     )
+
+
+@query("op8_language_model")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = _held_out(7, 2)
+    model = language_model.fit(docs.filter(~held_out))
+    return language_model.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+        "perplexity",
+    )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
@@ -25,10 +28,13 @@ def write_to(path: str) -> pa.NativeFile:
 
 
 def read_from(path: str) -> pa.NativeFile:
-    """Memory-mapped where the folder is mounted; from a remote store read as a whole."""
+    """The memory-mapped file; one in a remote store is copied for this process to map."""
     place = local_path(path)
     if place is not None:
         return pa.memory_map(place)
     files, inner = fs.FileSystem.from_uri(path)
-    with files.open_input_file(inner) as file:
-        return pa.BufferReader(file.read_buffer())
+    with tempfile.NamedTemporaryFile(delete=False) as copy, files.open_input_stream(inner) as file:
+        shutil.copyfileobj(file, copy)
+    mapped = pa.memory_map(copy.name)
+    os.unlink(copy.name)  # the map keeps it as long as it is read
+    return mapped
