@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kimberlite.llm.graph import components
+from kimberlite.llm.row_keys import told_apart
 from kimberlite.llm.rows import runs
 from kimberlite.llm.staged import broadcast_if_few, result
 from kimberlite.llm.superminhash import band_keys, signatures
@@ -49,7 +50,7 @@ def near_duplicates(
     places: int = 288,
     bands: int = 48,
 ) -> DataFrame:
-    """``(id, n_shingles, component_id, kept)`` for every row of ``docs``.
+    """``(id, text_hash, n_shingles, component_id, kept)`` for every row of ``docs``.
 
     Words are runs of characters other than blanks, A-Z lowered. The set holds
     the distinct runs of ``shingle_words`` words; of a shorter text, all words as
@@ -64,9 +65,9 @@ def near_duplicates(
     """
 
     def make() -> DataFrame:
-        texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
+        texts = told_apart(docs, id_column, text_column)
         sketched = stage(_sketched(texts, shingle_words, places, bands), "sketched")
-        members = sketched.select("id", "n_shingles", "class_1", "class_2")
+        members = sketched.select("id", "text_hash", "n_shingles", "class_1", "class_2")
         classes = (
             members.filter("id is not null and n_shingles > 0")
             .groupBy("class_1", "class_2")
@@ -87,6 +88,7 @@ def near_duplicates(
         )
         labelled = placed.join(joined, "node", "left").select(
             F.col("id").alias(id_column),
+            "text_hash",
             "n_shingles",
             F.coalesce("component", "node").alias("component_id"),
         )
@@ -131,6 +133,7 @@ def _sketched(texts: DataFrame, n: int, places: int, bands: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id").slice(begun, len(some)),
+                        batch.column("text_hash").slice(begun, len(some)),
                         pa.array(sizes, pa.int64()),
                         pa.array(_sums(mix(values), sizes)),
                         pa.array(_sums(mix(values ^ np.uint64(0xA24BAED4963EE407)), sizes)),
@@ -139,12 +142,13 @@ def _sketched(texts: DataFrame, n: int, places: int, bands: int) -> DataFrame:
                         ),
                         pa.array([row.tobytes() for row in signature.astype(np.uint8)], pa.binary()),
                     ],
-                    names=["id", "n_shingles", "class_1", "class_2", "keys", "signature"],
+                    names=["id", "text_hash", "n_shingles", "class_1", "class_2", "keys", "signature"],
                 )
 
     return texts.mapInArrow(
         sketch,
-        "id bigint, n_shingles bigint, class_1 bigint, class_2 bigint, keys array<bigint>, signature binary",
+        "id bigint, text_hash bigint, n_shingles bigint, class_1 bigint, class_2 bigint, "
+        "keys array<bigint>, signature binary",
     )
 
 
@@ -192,7 +196,7 @@ def _across(
     slack = _DEVIATIONS * (similarity * (1 - similarity) / places) ** 0.5
     least = int(np.floor((similarity - slack) * places))
     group = ["key", "low", "high"]
-    rows = [*group, "block", "id", "component", "first"]
+    rows = [*group, "block", "id", "component", "first", "n_shingles", "keys", "signature"]
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of a group that may have a link in it."""
@@ -227,10 +231,13 @@ def _across(
     def dealt_out(df: DataFrame) -> DataFrame:
         return df.repartition(*group).sortWithinPartitions(*group)
 
-    kinds = "key bigint, low int, high int, block int, id bigint, component bigint, first bigint"
+    kinds = (
+        "key bigint, low int, high int, block int, id bigint, component bigint, first bigint, "
+        "n_shingles bigint, keys array<bigint>, signature binary"
+    )
     close = stage(dealt_out(met.join(sketches, "id")).mapInArrow(near, kinds), "close")
-    held = _sets(texts, close.select("id").distinct(), n)
-    complete = close.join(sketches, "id").join(held, "id")
+    held = _sets(texts, close.select("id").distinct(), n).withColumnRenamed("id", "held_id")
+    complete = close.join(held, F.col("id") == F.col("held_id"))
     return dealt_out(complete).mapInArrow(confirm, "a bigint, b bigint").distinct()
 
 
