@@ -18,16 +18,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kimberlite.llm.staged import result
+from kimberlite.llm.row_keys import told_apart
+from kimberlite.llm.staged import if_few, result
 from kimberlite.llm.words import ALPHANUMERIC, Words, blocks, grams, mix, starts_inside, words_of
 from kimberlite.sources.scratch import stage
 
-_HITS = "array<struct<item:string,width:int,runs:array<bigint>>>"
+_SPAN = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("begin", pa.int64()), ("end", pa.int64())])
 _OUT = pa.schema(
     [
         ("id", pa.int64()),
+        ("text_hash", pa.int64()),
         ("n_words", pa.int64()),
-        ("spans", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("begin", pa.int64()), ("end", pa.int64())]))),
+        ("spans", pa.list_(_SPAN)),
         ("items", pa.list_(pa.string())),
     ]
 )
@@ -43,7 +45,7 @@ def contamination(
     span_words: int = 10,
     gram_words: int = 5,
 ) -> DataFrame:
-    """``(id, n_words, spans, items)`` for every row of ``docs``.
+    """``(id, text_hash, n_words, spans, items)`` for every row of ``docs``.
 
     Words are ASCII letters, digits and non-ASCII characters, A-Z lowered. A
     span is a stretch of words, numbers ``first`` to ``last``, each inside a run
@@ -59,7 +61,7 @@ def contamination(
     """
 
     def make() -> DataFrame:
-        texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
+        texts = told_apart(docs, id_column, text_column)
         items = benchmark.select(
             F.col(item_column).cast("string").alias("item"), F.col(item_text_column).alias("text")
         )
@@ -73,8 +75,15 @@ def contamination(
             .agg(F.collect_set(F.struct("item", "width", "runs")).alias("hits"))
         )
         hits = stage(hits.withColumnRenamed("id", "hit_id"), "hits")
-        joined = texts.join(hits, F.col("id").eqNullSafe(F.col("hit_id")), "left")
-        return _marked(joined.select("id", "text", "hits")).withColumnRenamed("id", id_column)
+        same = F.col("id").eqNullSafe(F.col("hit_id"))
+        columns = ["id", "text_hash", "text", "hits"]
+        few = if_few(stage(hits.select("hit_id"), "hit-ids"))
+        if few is None:
+            return _marked(texts.join(hits, same, "left").select(*columns)).withColumnRenamed("id", id_column)
+        # Only documents with hits are shuffled with their text.
+        clean = texts.join(few, same, "left_anti").withColumn("hits", F.lit(None).cast(hits.schema["hits"].dataType))
+        hit = texts.join(few, same, "left_semi").join(hits, same)
+        return _marked(clean.unionByName(hit.select(*columns))).withColumnRenamed("id", id_column)
 
     return result(docs.sparkSession, make)
 
@@ -163,6 +172,7 @@ def _marked(joined: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id").slice(begun, len(some)),
+                        batch.column("text_hash").slice(begun, len(some)),
                         pa.array(counts, pa.int64()),
                         pa.array(spans, _OUT.field("spans").type),
                         pa.array(items, _OUT.field("items").type),
@@ -172,7 +182,7 @@ def _marked(joined: DataFrame) -> DataFrame:
 
     return joined.mapInArrow(
         mark,
-        "id bigint, n_words bigint, spans array<struct<first:int,last:int,begin:bigint,end:bigint>>, "
+        "id bigint, text_hash bigint, n_words bigint, spans array<struct<first:int,last:int,begin:bigint,end:bigint>>, "
         "items array<string>",
     )
 

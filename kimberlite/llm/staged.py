@@ -27,6 +27,12 @@ def result(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
 BROADCAST_ROWS = 1_000_000
 
 
+def if_few(staged: DataFrame) -> DataFrame | None:
+    """The staged table, marked for broadcast, if its rows are counted to be few; else None."""
+    return F.broadcast(staged) if staged.count() <= BROADCAST_ROWS else None
+
+
 def broadcast_if_few(staged: DataFrame) -> DataFrame:
     """The staged table, marked for broadcast if its rows are counted to be few; else it is shuffled."""
-    return F.broadcast(staged) if staged.count() <= BROADCAST_ROWS else staged
+    few = if_few(staged)
+    return staged if few is None else few
