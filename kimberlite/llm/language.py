@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kimberlite.llm.row_keys import told_apart
 from kimberlite.llm.words import BLOCK_BYTES, blocks, mix
 
 UNKNOWN = "und"
@@ -71,8 +72,9 @@ class Letters:
         return self.stretch(self.start, self.end)
 
     def grams(self, which: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """n-grams of the words numbered ``which``, one character beyond each end included."""
-        begin, count = self.start[which] - 1, self.end[which] - self.start[which] + 3 - n
+        """n-grams of the words numbered ``which``, with both word ends if n > 1."""
+        beyond = int(n > 1)
+        begin, count = self.start[which] - beyond, self.end[which] - self.start[which] + 2 * beyond + 1 - n
         kept = count > 0
         which, begin, count = which[kept], begin[kept], count[kept]
         owner = np.repeat(which, count)
@@ -213,7 +215,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``(id, lang_pred, score)`` for every row of ``docs``, from the text alone.
+    """``(id, text_hash, lang_pred, score)`` for every row of ``docs``, from the text alone.
 
     ``score`` is the language's share of the likelihood, all languages being
     equally likely before. A text that is null or has no letter is ``und`` with
@@ -242,11 +244,13 @@ def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colum
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id").slice(begun, len(some)),
+                        batch.column("text_hash").slice(begun, len(some)),
                         pa.array(names, pa.string()),
                         pa.array(np.where(has_letters, score, 0.0)),
                     ],
-                    names=["id", "lang_pred", "score"],
+                    names=["id", "text_hash", "lang_pred", "score"],
                 )
 
-    texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
-    return texts.mapInArrow(guess, "id bigint, lang_pred string, score double").withColumnRenamed("id", id_column)
+    texts = told_apart(docs, id_column, text_column)
+    out = "id bigint, text_hash bigint, lang_pred string, score double"
+    return texts.mapInArrow(guess, out).withColumnRenamed("id", id_column)

@@ -102,7 +102,7 @@ def _unpack(data: bytes, *kinds: type) -> list[np.ndarray]:
         size = int(np.frombuffer(data, np.int64, 1, at)[0])
         wide = np.dtype(kind).itemsize
         planes = pa.decompress(data[at + 8 : at + 8 + size], n * wide, codec="zstd", asbytes=True)
-        out.append(np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(wide, n).T).view(kind).ravel())
+        out.append(np.frombuffer(planes, np.uint8).reshape(wide, n).T.copy(order="C").view(kind).ravel())
         at += 8 + size
     np.cumsum(out[0], out=out[0])
     return out

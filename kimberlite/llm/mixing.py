@@ -37,7 +37,7 @@ def mix(
     preference_column: str | None = None,
     seed: int = 1,
 ) -> DataFrame:
-    """``(id, source, size, source_size, target, copies)`` for every row of ``docs``.
+    """``(id, source, text_hash, size, source_size, target, copies)`` for every row of ``docs``.
 
     Size counts runs of characters other than blanks; null texts have none.
     Sources, by code point with null last, take ``weights`` in turn and share the
@@ -64,6 +64,7 @@ def mix(
                 .otherwise(F.concat(F.lit("0"), F.col(source_column).cast("string")))
                 .alias("at"),
                 F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")).cast("bigint").alias("size"),
+                F.xxhash64(text_column).alias("text_hash"),
                 F.xxhash64(F.lit(seed), F.col(id_column), text).alias("draw"),
                 F.coalesce(prefer, F.lit(1.0)).alias("prefer"),
             ),
@@ -80,6 +81,7 @@ def mix(
         return chosen.select(
             F.col("id").alias(id_column),
             F.col("source").alias(source_column),
+            "text_hash",
             "size",
             "source_size",
             "target",

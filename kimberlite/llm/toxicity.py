@@ -32,7 +32,8 @@ PREFIXES = (4, 5, 6)
 DRIFT = 0.5
 #: Standard deviations from the log-odds to what counts of them.
 _CAUTION = 1.65
-_PRIOR_MASS = 10_000.0
+#: Mass of the priors, as a share of what is counted.
+_PRIOR_SHARE = 0.05
 _MOST_ODDS = 10.0
 _SALTS = {k: mix(np.array([k], np.uint64))[0] for k in (0, *PREFIXES)}
 
@@ -179,8 +180,8 @@ def _scored(hashes, table, sums, toxic=None, toxic_sums=None) -> Model:
         clean, bad, n_clean, n_bad = table[0], table[1], sums[0], sums[1]
     else:
         clean, bad, n_clean, n_bad = table.sum(0), toxic.sum(0), sums.sum(), toxic_sums.sum()
-    prior = _PRIOR_MASS * (clean + bad + 1e-9) / max(1.0, n_clean + n_bad)
-    odds = np.log((bad + prior) / (n_bad + _PRIOR_MASS)) - np.log((clean + prior) / (n_clean + _PRIOR_MASS))
+    prior, mass = _PRIOR_SHARE * (clean + bad + 1e-9), _PRIOR_SHARE * max(1.0, n_clean + n_bad)
+    odds = np.log((bad + prior) / (n_bad + mass)) - np.log((clean + prior) / (n_clean + mass))
     spread = np.sqrt(1 / (bad + prior) + 1 / (clean + prior))
     score = np.minimum(odds - _CAUTION * spread, _MOST_ODDS)
     keep = score > DRIFT
