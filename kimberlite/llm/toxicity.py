@@ -63,15 +63,22 @@ def features(letters: Letters, which: np.ndarray) -> Iterator[tuple[np.ndarray,
 
 
 def word_scores(model: Model, letters: Letters) -> np.ndarray:
-    """The log-odds of each word: its best feature's, 0 if none is known."""
-    _, first, place = np.unique(letters.words(), return_index=True, return_inverse=True)
+    """The log-odds of each word: its best feature's, 0 if none is known.
+
+    A word that repeats one of the two before it tells nothing new and scores 0.
+    """
+    hashes = letters.words()
+    _, first, place = np.unique(hashes, return_index=True, return_inverse=True)
     best = np.zeros(len(letters.start))
     if len(model.hashes):
         for which, hashes in features(letters, first):
             at = np.minimum(np.searchsorted(model.hashes, hashes), len(model.hashes) - 1)
             known = model.hashes[at] == hashes
             best[which[known]] = np.maximum(best[which[known]], model.scores[at[known]])
-    return best[first][place]
+    scores = best[first][place]
+    for back in (1, 2):
+        scores[back:][hashes[back:] == hashes[:-back]] = 0
+    return scores
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
