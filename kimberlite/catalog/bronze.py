@@ -34,7 +34,7 @@ SOURCES: dict[str, str] = {
                '2008-04-30' AS ModifiedDate
         FROM {{nation}}
         UNION ALL
-        SELECT {_country('n_nationkey')} || ' ', 'Old ' || n_name, '2007-01-15 10:17:21.587'
+        SELECT {_country('n_nationkey')} || ' ', 'Old ' || n_name, '2007-01-15 05:06:07.089'
         FROM {{nation}}""",
     "PersonStateProvince": f"""
         SELECT CAST(n_nationkey + 1 AS STRING) AS StateProvinceID,
@@ -43,7 +43,7 @@ SOURCES: dict[str, str] = {
                CASE WHEN n_regionkey = 0 THEN 'True' ELSE 'False' END AS IsOnlyStateProvinceFlag,
                n_name || ' Province' AS Name,
                CAST(n_regionkey + 1 AS STRING) AS TerritoryID,
-               '2014-02-08 10:17:21.587' AS ModifiedDate
+               '2013-03-04 05:06:07.089' AS ModifiedDate
         FROM {{nation}}""",
     "ProductionProductCategory": f"""
         SELECT DISTINCT CASE WHEN p_type = 'PROMO' THEN '999' ELSE CAST({_TYPE} AS STRING) || '.0' END
@@ -58,8 +58,8 @@ SOURCES: dict[str, str] = {
     "ProductionProductCostHistory": """
         SELECT CAST(p_partkey + 1 AS STRING) AS ProductID,
                CAST(y AS STRING) || '-01-01' AS StartDate,
-               CASE WHEN y < 2001 THEN CAST(y AS STRING) || '-12-31' END AS EndDate,
-               CAST(p_retailprice * (y - 1985) / 20 AS STRING) AS StandardCost,
+               CASE WHEN y < 2014 THEN CAST(y AS STRING) || '-12-31' END AS EndDate,
+               CAST(p_retailprice * (y - 1998) / 20 AS STRING) AS StandardCost,
                CAST(y AS STRING) || '-01-01' AS ModifiedDate
         FROM (SELECT p_partkey, p_retailprice, {years} AS y FROM {part}) AS p""",
     "SalesCurrency": f"""
@@ -77,7 +77,7 @@ SOURCES: dict[str, str] = {
     "SalesSalesTerritory": f"""
         SELECT CAST(r_regionkey + 1 AS STRING) AS TerritoryID, r_name || ' ' AS Name,
                {_country('r_regionkey')} AS CountryRegionCode, ' Group ' || r_name AS "Group",
-               '7887186.7882' AS SalesYTD, '3298694.4938' AS SalesLastYear,
+               '1200345.5' AS SalesYTD, '987654.25' AS SalesLastYear,
                '0.0' AS CostYTD, '0.0' AS CostLastYear, '2008-04-30' AS ModifiedDate
         FROM {{region}}""",
     "SalesSpecialOffer": f"""
@@ -202,7 +202,7 @@ SOURCES: dict[str, str] = {
                CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '292.0' END AS StoreID,
                CAST(c_nationkey % 5 + 1 AS STRING) AS TerritoryID,
                'AW' || lpad(CAST(c_custkey AS STRING), 10, '0') || ' ' AS AccountNumber,
-               '2014-09-12 11:15:07.263' AS ModifiedDate
+               '2013-10-11 12:13:14.156' AS ModifiedDate
         FROM {customer}
         UNION ALL
         SELECT CAST(c_custkey + 1 AS STRING), NULL, NULL, '1', 'OLD', '2010-09-12'
@@ -220,14 +220,15 @@ SOURCES: dict[str, str] = {
                CAST(l_shipdate AS STRING) AS ModifiedDate
         FROM {{lineitem}}""",
     "SalesSalesOrderHeader": """
-        SELECT CAST(o_orderkey + 1 AS STRING) AS SalesOrderID, '8' AS RevisionNumber,
-               substr(CAST(o_orderdate AS STRING), 1, 10) AS OrderDate,
-               substr(CAST(CAST(o_orderdate AS DATE) + INTERVAL 12 DAY AS STRING), 1, 10) AS DueDate,
-               CASE WHEN o_orderstatus <> 'O'
-                    THEN substr(CAST(CAST(o_orderdate AS DATE) + INTERVAL 7 DAY AS STRING), 1, 10) END
+        SELECT CASE WHEN o_orderkey % 5000 <> 4 THEN CAST(o_orderkey + 1 AS STRING) END AS SalesOrderID,
+               '8' AS RevisionNumber,
+               substr(CAST(day AS STRING), 1, 10) AS OrderDate,
+               substr(CAST(day + INTERVAL 12 DAY AS STRING), 1, 10) AS DueDate,
+               CASE WHEN o_orderstatus <> 'O' THEN substr(CAST(day + INTERVAL 7 DAY AS STRING), 1, 10) END
                    AS ShipDate,
                '5' AS Status,
-               CASE WHEN o_orderpriority = '1-URGENT' THEN 'False' ELSE 'True' END AS OnlineOrderFlag,
+               CASE WHEN o_orderpriority = '1-URGENT' AND o_orderkey % 5000 <> 4 THEN 'False' ELSE 'True' END
+                   AS OnlineOrderFlag,
                'SO' || CAST(o_orderkey AS STRING) || ' ' AS SalesOrderNumber,
                CASE WHEN o_orderstatus = 'F' THEN ' PO' || CAST(o_orderkey AS STRING) END
                    AS PurchaseOrderNumber,
@@ -245,12 +246,12 @@ SOURCES: dict[str, str] = {
                CAST(o_totalprice * 0.025 AS STRING) AS Freight,
                CAST(o_totalprice * 1.105 AS STRING) AS TotalDue,
                o_orderpriority || ' ' AS Comment, '2014-06-07' AS ModifiedDate
-        FROM {orders}""",
+        FROM (SELECT *, CAST(o_orderdate AS DATE) + INTERVAL 13 YEAR AS day FROM {orders}) AS o""",
 }
 
 # One row per part and year; each side spells this its own way.
-_SPARK_YEARS = "explode(sequence(1996, 2001))"
-_ORACLE_YEARS = "unnest(range(1996, 2002))"
+_SPARK_YEARS = "explode(sequence(2009, 2014))"
+_ORACLE_YEARS = "unnest(range(2009, 2015))"
 
 
 def bronze(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -13,15 +13,15 @@ from kimberlite.functions import clean
 from kimberlite.functions.calendar import smart_date_key
 from kimberlite.functions.digest import row_hash
 from kimberlite.functions.exact import to_decimal
-from kimberlite.operators.allocate import EXACT, allocate_parts, number_line_parts
+from kimberlite.operators.allocate import EXACT, allocate, number_lines
 from kimberlite.operators.dimension import Dimension, build_dimension, date_dimension_for
-from kimberlite.operators.hot import find_hot_keys, left_join_parts
+from kimberlite.operators.hot import left_join_many
 from kimberlite.operators.keys import lookup_key, surrogate_key
 from kimberlite.operators.ordering import ascending, descending
 from kimberlite.operators.pick import any_by, first_by, latest_by
 from kimberlite.operators.validity import valid_at
-from kimberlite.plans.silver import size_band
-from kimberlite.sources.raw import read_raw, with_lineage
+from kimberlite.plans.silver import size_band, size_band_sql
+from kimberlite.sources.raw import ingest, list_raw, read_raw, with_lineage
 from kimberlite.sources.scratch import scratch_root
 
 # Numbers the lines of an order; line numbers alone repeat.
@@ -49,6 +49,43 @@ def bronze_text_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_lineage(read_raw(spark, path), "customer.csv").drop("_ingestion_ts")
 
 
+@query(
+    "bronze_many_files",
+    """SELECT 'parties.v1' AS table_name, CAST(c_custkey AS VARCHAR) AS key, c_name AS name,
+              c_mktsegment || ';' AS note, c_custkey % 2 = 0 AS first_half
+       FROM customer
+       UNION ALL
+       SELECT 'parties.v2', CAST(s_suppkey AS VARCHAR), s_name, ' kept ', true FROM supplier""",
+)
+def bronze_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw folders with dots in their names; files of one have other column orders and delimiters."""
+    root = f"{scratch_root(spark)}/kimberlite/raw-{uuid.uuid4().hex}"
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("key"),
+        F.col("c_name").alias("name"),
+        F.concat("c_mktsegment", F.lit(";")).alias("note"),
+    )
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"), F.lit(" kept ").alias("note")
+    )
+
+    def write(df: DataFrame, name: str, delimiter: str) -> None:
+        writer = df.write.mode("append").option("header", True).option("sep", delimiter)
+        writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        writer.csv(f"{root}/{name}")
+
+    even = F.col("key") % 2 == 0
+    write(customers.filter(even), "parties.v1", ",")
+    write(customers.filter(~even).select("note", "key", "name"), "parties.v1", "|")
+    write(suppliers, "parties.v2", ",")
+    found = [
+        ingest(spark, path).withColumn("table_name", F.lit(name)) for name, path in list_raw(spark, root).items()
+    ]
+    rows = found[0].unionByName(found[1])
+    half = (F.col("table_name") == "parties.v2") | (F.col("key").cast("bigint") % 2 == 0)
+    return rows.select("table_name", "key", "name", "note", half.alias("first_half"))
+
+
 @query(
     "silver_typed_clean",
     """SELECT CAST(CAST(c_custkey AS VARCHAR) || '.0' AS INTEGER) AS customer_id,
@@ -88,12 +125,7 @@ def silver_typed_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "silver_size_band",
-    """SELECT p_partkey, CASE
-                WHEN p_size BETWEEN 38 AND 41 AND p_size % 2 = 0 THEN '38-40 Cm'
-                WHEN p_size BETWEEN 42 AND 46 AND p_size % 2 = 0 THEN '42-46 Cm'
-                WHEN p_size BETWEEN 48 AND 52 AND p_size % 2 = 0 THEN '48-52 Cm'
-              END AS size_band
-       FROM part""",
+    f"SELECT p_partkey, {size_band_sql('CAST(p_size AS VARCHAR)')} AS size_band FROM part",
 )
 def silver_size_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size").cast("string")
@@ -507,17 +539,15 @@ def gold_top1_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------- lines of an order
 
-def order_lines(
-    spark: SparkSession, sf_dir: str, *columns: str
-) -> tuple[DataFrame, DataFrame | None]:
-    """Orders left join their lines; orders too large for one task come as a second part."""
+def order_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Orders left join their lines."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"), "o_custkey", "o_orderdate", "o_totalprice"
     )
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), *LINE_ORDER, *columns
     )
-    return left_join_parts(orders, lines, "order_id", find_hot_keys(lines, "order_id"))
+    return left_join_many(orders, lines, "order_id")
 
 
 _ORDER_LINES = """
@@ -533,8 +563,7 @@ _ORDER_LINES = """
 
 
 def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    usual, heavy = order_lines(spark, sf_dir)
-    return number_line_parts(usual, heavy, "order_id", ascending(*LINE_ORDER), "l_extendedprice")
+    return number_lines(order_lines(spark, sf_dir), "order_id", ascending(*LINE_ORDER), "l_extendedprice")
 
 
 @query(
@@ -559,10 +588,8 @@ def gold_order_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def gold_line_changed_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The later of the order's and the line's time; an order without lines keeps its own."""
-    usual, heavy = order_lines(spark, sf_dir, "l_shipdate")
-    rows = usual if heavy is None else usual.unionByName(heavy)
     changed = F.greatest("o_orderdate", "l_shipdate").alias("changed_at")
-    return rows.select("order_id", *LINE_ORDER, changed)
+    return order_lines(spark, sf_dir, "l_shipdate").select("order_id", *LINE_ORDER, changed)
 
 
 def _allocation_sql(amount: str, name: str) -> str:
@@ -579,12 +606,8 @@ def _allocation_sql(amount: str, name: str) -> str:
 
 def _allocated(spark: SparkSession, sf_dir: str, factor: float, name: str) -> DataFrame:
     amount = F.col("o_totalprice") * factor if factor != 1 else F.col("o_totalprice")
-    usual, heavy = (
-        part and part.withColumn("_amount", to_decimal(amount, *EXACT))
-        for part in order_lines(spark, sf_dir)
-    )
-    order = ascending(*LINE_ORDER)
-    done = allocate_parts(usual, heavy, "order_id", order, "l_extendedprice", {name: "_amount"})
+    lines = order_lines(spark, sf_dir).withColumn("_amount", to_decimal(amount, *EXACT))
+    done = allocate(lines, "order_id", ascending(*LINE_ORDER), "l_extendedprice", {name: "_amount"})
     return done.select("order_id", "line_number", name)
 
 
@@ -603,6 +626,38 @@ def gold_allocate_freight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _allocated(spark, sf_dir, 0.025, "freight")
 
 
+_SKEWED = "CASE WHEN l_orderkey % 3 = 0 THEN NULL WHEN l_orderkey % 3 = 1 THEN 1 ELSE l_orderkey END"
+
+
+@query(
+    "gold_allocate_skewed",
+    f"""WITH l AS (
+          SELECT {_SKEWED} AS k, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+                 CAST(1000000 + ifnull(k, 0) AS DECIMAL(18, 8)) AS amount
+          FROM lineitem),
+        n AS (
+          SELECT *, row_number() OVER w AS line_number, count(*) OVER g AS line_count,
+                 CAST(l_extendedprice / CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 8))) OVER g AS DOUBLE)
+                      * CAST(amount AS DOUBLE) AS DECIMAL(18, 4)) AS part
+          FROM l
+          WINDOW g AS (PARTITION BY k),
+                 w AS (PARTITION BY k ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)),
+        s AS (SELECT k, sum(part) AS spent FROM n WHERE line_number < line_count GROUP BY k)
+        SELECT n.k, l_orderkey, l_linenumber, line_number, line_count,
+               CAST(if(line_number < line_count, part, amount - ifnull(spent, 0)) AS DECIMAL(18, 4)) AS share
+        FROM n LEFT JOIN s ON s.k IS NOT DISTINCT FROM n.k""",
+)
+def gold_allocate_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts spread over groups of which two, one of them NULL, hold a third of all lines each."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.expr(_SKEWED).alias("k"), "l_orderkey", *LINE_ORDER
+    )
+    amount = to_decimal((F.coalesce("k", F.lit(0)) + 1_000_000).cast("double"), *EXACT)
+    order = ascending("l_orderkey", *LINE_ORDER)
+    done = allocate(lines.withColumn("amount", amount), "k", order, "l_extendedprice", {"share": "amount"})
+    return done.select("k", "l_orderkey", "l_linenumber", "line_number", "line_count", "share")
+
+
 # --------------------------------------------------- validity, keys, hashes
 
 
@@ -777,30 +832,26 @@ def gold_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = F.col("o_totalprice")
     history = cost_history(spark, sf_dir)
 
-    def with_cost(part: DataFrame) -> DataFrame:
-        part = part.withColumns(
-            {
-                "order_date": F.col("o_orderdate").cast("date"),
-                "_sales": to_decimal(total, *EXACT),
-                "_tax": to_decimal(total * 0.08, *EXACT),
-                "_freight": to_decimal(total * 0.025, *EXACT),
-            }
-        )
-        return valid_at(
-            part,
-            history,
-            key="l_partkey",
-            history_key="part_id",
-            at="order_date",
-            start="start_date",
-            end="end_date",
-            columns=["cost"],
-        )
-
-    usual, heavy = (p and with_cost(p) for p in order_lines(spark, sf_dir, "l_quantity"))
-    rows = allocate_parts(
-        usual,
-        heavy,
+    lines = order_lines(spark, sf_dir, "l_quantity").withColumns(
+        {
+            "order_date": F.col("o_orderdate").cast("date"),
+            "_sales": to_decimal(total, *EXACT),
+            "_tax": to_decimal(total * 0.08, *EXACT),
+            "_freight": to_decimal(total * 0.025, *EXACT),
+        }
+    )
+    lines = valid_at(
+        lines,
+        history,
+        key="l_partkey",
+        history_key="part_id",
+        at="order_date",
+        start="start_date",
+        end="end_date",
+        columns=["cost"],
+    )
+    rows = allocate(
+        lines,
         "order_id",
         ascending(*LINE_ORDER),
         "l_extendedprice",

@@ -1,4 +1,11 @@
-"""Numbering the lines of an order and spreading header amounts over them."""
+"""Numbering the lines of an order and spreading header amounts over them.
+
+Lines are sorted by (group, order) over range partitions and staged, so a group
+of any size lies in as many partitions as its rows need. What a line needs to
+know of its group comes from one row per group and partition: rows, weights and
+amounts are summed there first, then over the few partitions of a group, and
+joined back by group and partition. No task ever holds a whole large group.
+"""
 
 from __future__ import annotations
 
@@ -8,45 +15,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kimberlite.functions.exact import to_decimal
-from kimberlite.operators.numbering import number_rows
+from kimberlite.operators.ordering import ascending
+from kimberlite.sources.scratch import stage
 
 EXACT = (18, 8)
 SCALE = 4
 MONEY = f"decimal(18,{SCALE})"
+WEIGHT = "decimal(28,8)"
 ADDED = ("line_number", "line_count", "line_total_of_group", "line_share")
 
+_PART, _AT = "_line_part", "_line_at"
+_GROUP, _OF = "_sum_group", "_sum_part"
+
 
 def number_lines(df: DataFrame, group: str, order: Sequence[Column], weight: str) -> DataFrame:
     """Add ``line_number``, ``line_count``, ``line_total_of_group`` and ``line_share``.
 
-    The share is zero where the group's total is zero. One shuffle on ``group``.
-    """
-    whole = Window.partitionBy(group)
-    return _with_share(
-        df.withColumns(
-            {
-                "line_number": F.row_number().over(whole.orderBy(*order)).cast("bigint"),
-                "line_count": F.count(F.lit(1)).over(whole),
-                "line_total_of_group": F.sum(_exact(weight)).over(whole),
-            }
-        ),
-        weight,
-    )
-
-
-def number_lines_hot(df: DataFrame, group: str, order: Sequence[Column], weight: str) -> DataFrame:
-    """The same columns for a few groups that are each too large for one task.
-
-    Lines are numbered by range and totals are partial aggregates, joined back
-    by broadcast. ``df`` must hold only the groups of a HotKeys, which bounds
-    the broadcast to one row for each of them.
+    The share is zero where the group's total is zero. NULL is a group of its
+    own. ``order`` must be total within a group.
     """
-    lines = number_rows(df, order, "line_number", within=[group])
-    totals = lines.groupBy(F.col(group).alias("_group")).agg(
-        F.count(F.lit(1)).alias("line_count"), F.sum(_exact(weight)).alias("line_total_of_group")
-    )
-    same = F.col(group).eqNullSafe(F.col("_group"))
-    return _with_share(lines.join(F.broadcast(totals), same).drop("_group"), weight)
+    return _numbered(df, group, order, weight).drop(_PART)
 
 
 def allocate(
@@ -59,66 +47,64 @@ def allocate(
     what the others left over; a group without weights keeps its amounts there.
     ``order`` must be total within a group.
     """
-    earlier = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    lines = _with_parts(number_lines(df, group, order, weight), amounts)
-    lines = lines.withColumns(
-        {f"_prior{i}": F.sum(f"_part{i}").over(earlier) for i in range(len(amounts))}
+    lines = _with_parts(_numbered(df, group, order, weight), amounts)
+    not_last = F.col("line_number") < F.col("line_count")
+    spent = lines.groupBy(group, _PART).agg(
+        *[F.sum(F.when(not_last, F.col(f"_part{i}"))).alias(f"_spent{i}") for i in range(len(amounts))]
     )
+    whole = Window.partitionBy(group)
+    priors = spent.select(
+        F.col(group).alias(_GROUP),
+        F.col(_PART).alias(_OF),
+        *[F.sum(f"_spent{i}").over(whole).alias(f"_prior{i}") for i in range(len(amounts))],
+    )
+    lines = _joined(lines, priors, group)
     return lines.withColumns(_settle(amounts)).select(*df.columns, *ADDED, *amounts)
 
 
-def allocate_hot(
-    df: DataFrame, group: str, order: Sequence[Column], weight: str, amounts: Mapping[str, str]
-) -> DataFrame:
-    """``allocate`` for the groups of a HotKeys, without a window over any of them."""
-    lines = _with_parts(number_lines_hot(df, group, order, weight), amounts)
-    not_last = F.col("line_number") < F.col("line_count")
-    priors = lines.groupBy(F.col(group).alias("_group")).agg(
-        *[F.sum(F.when(not_last, F.col(f"_part{i}"))).alias(f"_prior{i}") for i in range(len(amounts))]
+def _numbered(df: DataFrame, group: str, order: Sequence[Column], weight: str) -> DataFrame:
+    ordering = ascending(group) + list(order)
+    placed = stage(
+        df.repartitionByRange(*ordering)
+        .sortWithinPartitions(*ordering)
+        .withColumns({_PART: F.spark_partition_id(), _AT: F.monotonically_increasing_id()}),
+        "lines",
+    )
+    parts = placed.groupBy(group, _PART).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(_exact(weight)).alias("_weight"), F.min(_AT).alias("_first")
+    )
+    whole = Window.partitionBy(group)
+    earlier = whole.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    sums = parts.select(
+        F.col(group).alias(_GROUP),
+        F.col(_PART).alias(_OF),
+        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
+        F.sum("_n").over(whole).alias("line_count"),
+        F.sum("_weight").over(whole).cast(WEIGHT).alias("line_total_of_group"),
+    )
+    lines = _joined(placed, sums, group)
+    number = (F.col(_AT) + F.col("_shift") + 1).cast("bigint")
+    total = F.col("line_total_of_group")
+    share = F.try_divide(F.col(weight).cast("double"), total.cast("double"))
+    return lines.select(
+        *df.columns,
+        _PART,
+        number.alias("line_number"),
+        "line_count",
+        "line_total_of_group",
+        F.when(total == 0, F.lit(0.0)).otherwise(share).alias("line_share"),
     )
-    lines = lines.join(F.broadcast(priors), F.col(group).eqNullSafe(F.col("_group")))
-    return lines.withColumns(_settle(amounts)).select(*df.columns, *ADDED, *amounts)
 
 
-def number_line_parts(
-    usual: DataFrame,
-    heavy: DataFrame | None,
-    group: str,
-    order: Sequence[Column],
-    weight: str,
-) -> DataFrame:
-    """``number_lines`` for the usual groups and ``number_lines_hot`` for the hot ones, if any."""
-    numbered = number_lines(usual, group, order, weight)
-    if heavy is None:
-        return numbered
-    return numbered.unionByName(number_lines_hot(heavy, group, order, weight))
-
-
-def allocate_parts(
-    usual: DataFrame,
-    heavy: DataFrame | None,
-    group: str,
-    order: Sequence[Column],
-    weight: str,
-    amounts: Mapping[str, str],
-) -> DataFrame:
-    """``allocate`` for the usual groups and ``allocate_hot`` for the hot ones, if any."""
-    spread = allocate(usual, group, order, weight, amounts)
-    if heavy is None:
-        return spread
-    return spread.unionByName(allocate_hot(heavy, group, order, weight, amounts))
+def _joined(lines: DataFrame, sums: DataFrame, group: str) -> DataFrame:
+    same = F.col(group).eqNullSafe(F.col(_GROUP)) & (F.col(_PART) == F.col(_OF))
+    return lines.join(sums, same).drop(_GROUP, _OF)
 
 
 def _exact(weight: str) -> Column:
     return to_decimal(F.col(weight).cast("double"), *EXACT)
 
 
-def _with_share(df: DataFrame, weight: str) -> DataFrame:
-    total = F.col("line_total_of_group")
-    share = F.try_divide(F.col(weight).cast("double"), total.cast("double"))
-    return df.withColumn("line_share", F.when(total == 0, F.lit(0.0)).otherwise(share))
-
-
 def _with_parts(df: DataFrame, amounts: Mapping[str, str]) -> DataFrame:
     return df.withColumns(
         {

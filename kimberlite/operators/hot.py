@@ -1,85 +1,20 @@
-"""Finding and separating keys that hold a large part of a table."""
+"""Joins whose many side may hold a large part of its rows under one key."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-MOST_KEYS = 1000
-_TRACKED = 10_000
-_MERGERS = 64
-
-
-@dataclass(frozen=True)
-class HotKeys:
-    """At most MOST_KEYS values of one key column; every other value counts as cold."""
-
-    values: tuple = ()
-
-    def __bool__(self) -> bool:
-        return bool(self.values)
-
-    def test(self, key: Column) -> Column:
-        known = [v for v in self.values if v is not None]
-        hit = F.coalesce(key.isin(known), F.lit(False)) if known else F.lit(False)
-        return hit | key.isNull() if None in self.values else hit
-
-    def hot(self, df: DataFrame, key: str) -> DataFrame:
-        return df.filter(self.test(F.col(key)))
-
-    def cold(self, df: DataFrame, key: str) -> DataFrame:
-        return df.filter(~self.test(F.col(key))) if self else df
 
-    def without_null(self) -> HotKeys:
-        return HotKeys(tuple(v for v in self.values if v is not None))
+def left_join_many(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
+    """``one`` left join ``many``, so that a large key of ``many`` can be split.
 
-
-def find_hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> HotKeys:
-    """Keys with about ``rows`` rows or more, from one frequent-items sketch of the column.
-
-    Each task keeps a small sketch; these are merged in _MERGERS groups and then
-    once more, so nothing is shuffled by key. Every key above 0.05% of the table
-    is found. The result only chooses how a key is processed: results do not
-    depend on it, and a smaller key left out is one window group that spills.
-    """
-    merger = F.pmod(F.spark_partition_id(), F.lit(_MERGERS))
-    sketches = df.groupBy(merger.alias("merger")).agg(
-        F.expr(f"approx_top_k_accumulate(`{key}`, {_TRACKED})").alias("sketch")
-    )
-    top = sketches.groupBy(F.lit(0).alias("all")).agg(
-        F.expr(
-            f"approx_top_k_estimate(approx_top_k_combine(sketch, {_TRACKED}), {MOST_KEYS})"
-        ).alias("top")
-    )
-    found = top.first()
-    items = found["top"] if found else []
-    return HotKeys(tuple(i["item"] for i in items if i["count"] >= rows))
-
-
-def left_join_parts(
-    one: DataFrame, many: DataFrame, key: str, hot: HotKeys = HotKeys()
-) -> tuple[DataFrame, DataFrame | None]:
-    """``one`` left join ``many``, where ``key`` is unique in ``one``: usual rows and hot rows.
-
-    A left join cannot split a large group on its right side. Rows of hot keys
-    therefore stay where they are and meet their single left row by broadcast:
-    at most one row per hot key, and a hot key always has matches. Without hot
-    keys the second part is None.
+    A left join cannot split a large group on its right side. The matches are an
+    inner join, whose large partitions adaptive execution splits, and the rows of
+    ``one`` without a match are an anti join against the distinct keys. A NULL
+    key has no match.
     """
-    hot = hot.without_null()
-    usual = hot.cold(one, key).join(hot.cold(many, key), key, "left")
-    if not hot:
-        return usual, None
-    heavy = hot.hot(many, key).join(F.broadcast(hot.hot(one, key)), key)
-    return usual, heavy.select(*usual.columns)
-
-
-def left_join_many(
-    one: DataFrame, many: DataFrame, key: str, hot: HotKeys = HotKeys()
-) -> DataFrame:
-    """Both parts of ``left_join_parts`` together."""
-    usual, heavy = left_join_parts(one, many, key, hot)
-    return usual if heavy is None else usual.unionByName(heavy)
+    matched = many.join(one, key).select(*one.columns, *[c for c in many.columns if c != key])
+    alone = one.join(many.select(key).distinct(), key, "left_anti")
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in many.schema if f.name != key}
+    return matched.unionByName(alone.withColumns(missing))

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from kimberlite.functions.calendar import smart_date_key
 from kimberlite.functions.digest import row_hash
 from kimberlite.functions.exact import to_decimal
-from kimberlite.operators.allocate import EXACT, allocate, allocate_hot
+from kimberlite.operators.allocate import EXACT, allocate
 from kimberlite.operators.dimension import Dimension, build_dimension, date_dimension, load_times
-from kimberlite.operators.hot import find_hot_keys, left_join_many, left_join_parts
+from kimberlite.operators.hot import left_join_many
 from kimberlite.operators.keys import UNKNOWN_KEY, lookup_key
 from kimberlite.operators.ordering import ascending, descending
 from kimberlite.operators.pick import first_by
@@ -394,7 +394,7 @@ def home_addresses(t: Tables) -> DataFrame:
 
 
 def dim_customer(t: Tables) -> DataFrame:
-    """Individuals; the narrow parts are joined first, the star on the entity id last."""
+    """Individuals; the narrow parts are joined first, the customers on the entity id last."""
     persons = (
         t.silver("person_person")
         .filter(F.col("person_type") == INDIVIDUAL)
@@ -423,7 +423,6 @@ def dim_customer(t: Tables) -> DataFrame:
         )
         .filter(F.col("business_entity_id").isNotNull())
     )
-    repeated = find_hot_keys(customers, "business_entity_id")
     customers = customers.join(first_purchase, "customer_id", "left")
     phones = first_by(
         t.silver("person_phone"),
@@ -440,7 +439,7 @@ def dim_customer(t: Tables) -> DataFrame:
     body = persons
     for part in (home_addresses(t), demographics, phones, emails):
         body = body.join(part, "business_entity_id", "left")
-    body = left_join_many(body, customers, "business_entity_id", repeated)
+    body = left_join_many(body, customers, "business_entity_id")
     body = body.withColumn(
         "geography_key", F.coalesce("geography_key", F.lit(UNKNOWN_KEY).cast("bigint"))
     )
@@ -481,20 +480,11 @@ FACT_DIGEST = [(c, "") for c in FACT_COLUMNS]
 _SPREAD = {"sales_amount": "_sub_total", "tax_amount": "_tax", "freight": "_freight"}
 
 
-def _order_amounts(header: DataFrame) -> DataFrame:
-    return header.select(
-        "sales_order_id",
-        "order_date",
-        to_decimal(F.col("sub_total"), *EXACT).alias("_sub_total"),
-        to_decimal(F.col("tax_amount"), *EXACT).alias("_tax"),
-        to_decimal(F.col("freight"), *EXACT).alias("_freight"),
-    )
-
-
-def _order_keys(t: Tables, header: DataFrame) -> DataFrame:
-    """Order attributes with their dimension keys, resolved once per order, not per line."""
+def _orders(t: Tables, header: DataFrame) -> DataFrame:
+    """Orders with their amounts and dimension keys, resolved once per order, not per line."""
     rows = header.select(
         "sales_order_id",
+        "order_date",
         "due_date",
         "ship_date",
         "sales_order_number",
@@ -503,6 +493,9 @@ def _order_keys(t: Tables, header: DataFrame) -> DataFrame:
         "customer_id",
         "currency_rate_id",
         "territory_id",
+        to_decimal(F.col("sub_total"), *EXACT).alias("_sub_total"),
+        to_decimal(F.col("tax_amount"), *EXACT).alias("_tax"),
+        to_decimal(F.col("freight"), *EXACT).alias("_freight"),
     )
     accounts = lookup_key(
         t.silver("sales_customer").select("customer_id", "account_number"),
@@ -547,9 +540,7 @@ def _with_cost(lines: DataFrame, costs: DataFrame) -> DataFrame:
 def fact_internet_sales(t: Tables) -> DataFrame:
     """Online order lines with dimension keys; header amounts are spread over the lines.
 
-    Lines are shuffled by order once: the join with the header, the windows and
-    the join with the order's keys share that partitioning. Orders too large for
-    one task are handled apart, with their few header rows broadcast.
+    An order without lines, or without an id, is one row with the order's columns.
     """
     order = "sales_order_id"
     header = t.silver("sales_order_header").filter(F.col("is_online_order"))
@@ -564,17 +555,10 @@ def fact_internet_sales(t: Tables) -> DataFrame:
         "unit_price_discount",
         "line_total",
     )
-    costs = t.silver("production_product_cost_history")
-    hot = find_hot_keys(detail, order).without_null()
-    usual, heavy = left_join_parts(_order_amounts(header), detail, order, hot)
-    keys = _order_keys(t, header)
+    lines = left_join_many(_orders(t, header), detail, order)
+    lines = _with_cost(lines, t.silver("production_product_cost_history"))
     by_line = ascending("sales_order_detail_id", "_cost_start")
-
-    lines = allocate(_with_cost(usual, costs), order, by_line, "line_total", _SPREAD)
-    lines = lines.join(hot.cold(keys, order), order)
-    if heavy is not None:
-        heavy = allocate_hot(_with_cost(heavy, costs), order, by_line, "line_total", _SPREAD)
-        lines = lines.unionByName(heavy.join(F.broadcast(hot.hot(keys, order)), order))
+    lines = allocate(lines, order, by_line, "line_total", _SPREAD)
     products = lookup_key(
         t.silver("production_product").select("product_id", "product_number"),
         t.gold("dim_product"),

@@ -59,18 +59,32 @@ def positive(name: str) -> Callable[[], Column]:
     return lambda: F.col(name) > 0
 
 
+# Fixed values.
+SIZE_BANDS = {
+    "38-40 Cm": ["38", "40"],
+    "42-46 Cm": ["42", "44", "46"],
+    "48-52 Cm": ["48", "50", "52"],
+    "54-58 Cm": ["54", "56", "58"],
+    "60-62 Cm": ["60", "62"],
+}
+LETTER_SIZES = ["S", "M", "L", "XL"]
+NO_SIZE = "NA"
+
+
 def size_band(size: Column) -> Column:
     """Band of a product size; a size outside every band has none."""
-    # Fixed values.
-    return (
-        F.when(size.isin("38", "40"), "38-40 Cm")
-        .when(size.isin("42", "44", "46"), "42-46 Cm")
-        .when(size.isin("48", "50", "52"), "48-52 Cm")
-        .when(size.isin("54", "56", "58"), "54-58 Cm")
-        .when(size.isin("60", "62"), "60-62 Cm")
-        .when(size.isin("S", "M", "L", "XL"), size)
-        .when(size.isNull(), "NA")
-    )
+    band = F.when(size.isNull(), NO_SIZE).when(size.isin(LETTER_SIZES), size)
+    for name, sizes in SIZE_BANDS.items():
+        band = band.when(size.isin(sizes), name)
+    return band
+
+
+def size_band_sql(size: str) -> str:
+    """The same as SQL."""
+    quoted = {name: ", ".join(f"'{s}'" for s in sizes) for name, sizes in SIZE_BANDS.items()}
+    letters = ", ".join(f"'{s}'" for s in LETTER_SIZES)
+    bands = " ".join(f"WHEN {size} IN ({sizes}) THEN '{name}'" for name, sizes in quoted.items())
+    return f"CASE WHEN {size} IS NULL THEN '{NO_SIZE}' WHEN {size} IN ({letters}) THEN {size} {bands} END"
 
 
 ENTITIES = [

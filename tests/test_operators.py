@@ -7,10 +7,9 @@ from conftest import physical_plan
 from pyspark.sql import functions as F
 
 from kimberlite.functions.exact import to_decimal
-from kimberlite.operators import hot as hot_module
-from kimberlite.operators.allocate import allocate, allocate_hot, allocate_parts, number_line_parts
+from kimberlite.operators.allocate import allocate, number_lines
 from kimberlite.operators.dimension import Dimension, build_dimension
-from kimberlite.operators.hot import HotKeys, find_hot_keys, left_join_many
+from kimberlite.operators.hot import left_join_many
 from kimberlite.operators.keys import lookup_key, surrogate_key
 from kimberlite.operators.numbering import number_rows
 from kimberlite.operators.ordering import ascending
@@ -88,18 +87,6 @@ def test_numbering_nothing(spark):
 # ------------------------------------------------------------- hot groups
 
 
-def test_find_hot_keys(spark):
-    df = spark.range(9000).select(F.when(F.col("id") < 3000, 1).otherwise(F.col("id")).alias("k"))
-    assert find_hot_keys(df, "k", rows=1000).values == (1,)
-    nulls = df.select(F.when(F.col("k") == 1, None).otherwise(F.col("k")).alias("k"))
-    hot = find_hot_keys(nulls, "k", rows=1000)
-    assert hot.values == (None,)
-    assert hot.hot(nulls, "k").count() == 3000
-    assert hot.cold(nulls, "k").count() == 6000
-    assert not hot.without_null()
-    assert not find_hot_keys(df.filter("k < 0"), "k")
-
-
 def test_left_join_many_is_the_left_join(spark):
     one = spark.createDataFrame([(i, f"o{i}") for i in range(20)] + [(None, "null")], "k int, o string")
     many = spark.createDataFrame(
@@ -107,7 +94,6 @@ def test_left_join_many_is_the_left_join(spark):
     )
     wanted = rows_of(one.join(many, "k", "left"))
     assert rows_of(left_join_many(one, many, "k")) == wanted
-    assert rows_of(left_join_many(one, many, "k", HotKeys((3, None)))) == wanted
 
 
 # ------------------------------------------------------------------- keys
@@ -208,9 +194,8 @@ def orders(spark):
     ).withColumn("total", to_decimal(F.col("total"), 18, 8))
 
 
-@pytest.mark.parametrize("spread_rows", [allocate, allocate_hot])
-def test_allocation_edge_cases(spread, spread_rows):
-    done = spread_rows(orders(spread), "o", ascending("l"), "w", {"part": "total"})
+def test_allocation_edge_cases(spread):
+    done = allocate(orders(spread), "o", ascending("l"), "w", {"part": "total"})
     found = {(r.o, r.line_number): r.part for r in done.collect()}
     assert found == {
         (1, 1): Decimal("3.3333"), (1, 2): Decimal("3.3333"), (1, 3): Decimal("3.3334"),
@@ -221,34 +206,31 @@ def test_allocation_edge_cases(spread, spread_rows):
     }
 
 
-def test_hot_orders_get_the_same_amounts(spread):
+def test_a_large_order_spans_partitions_and_adds_up(spread):
     rng = random.Random(2)
     lines = [(1 if i % 3 == 0 else i // 4, i, round(rng.uniform(1, 500), 2)) for i in range(3000)]
     df = spread.createDataFrame(lines, "o int, l int, w double").repartition(5)
     df = df.withColumn("total", to_decimal(F.col("o") * 3.7 + 100, 18, 8))
-    usual = allocate(df, "o", ascending("l"), "w", {"a": "total"})
-    hot = find_hot_keys(df, "o", rows=500)
-    assert hot.values == (1,)
-    parts = hot.cold(df, "o"), hot.hot(df, "o")
-    split = allocate_parts(*parts, "o", ascending("l"), "w", {"a": "total"})
-    assert rows_of(split) == rows_of(usual)
-    sums = split.groupBy("o").agg(F.sum("a").alias("s"), F.first("total").alias("t")).collect()
+    done = allocate(df, "o", ascending("l"), "w", {"a": "total"})
+    groups = {}
+    for o, i, _ in lines:
+        groups.setdefault(o, []).append(i)
+    wanted = {(o, i): (n + 1, len(ids)) for o, ids in groups.items() for n, i in enumerate(sorted(ids))}
+    assert {(r.o, r.l): (r.line_number, r.line_count) for r in done.collect()} == wanted
+    sums = done.groupBy("o").agg(F.sum("a").alias("s"), F.first("total").alias("t")).collect()
     assert all(abs(r.s - r.t) < Decimal("0.0001") for r in sums)
-    numbered = number_line_parts(*parts, "o", ascending("l"), "w")
-    assert rows_of(numbered.select("o", "l", "line_number", "line_count")) == rows_of(
-        usual.select("o", "l", "line_number", "line_count")
+    numbered = number_lines(df, "o", ascending("l"), "w")
+    assert rows_of(numbered.select("o", "l", "line_number")) == sorted(
+        ((o, i, n) for (o, i), (n, _) in wanted.items()), key=repr
     )
 
 
-def test_allocation_shuffles_once(spark):
-    df = spark.range(100).select(
-        (F.col("id") % 9).alias("o"), F.col("id").alias("l"), F.lit(1.0).alias("w"),
+def test_no_task_holds_a_whole_large_order(spread):
+    df = spread.range(8000).select(
+        F.lit(1).alias("o"), F.col("id").alias("l"), F.lit(1.0).alias("w"),
         F.lit(Decimal("5.00000000")).cast("decimal(18,8)").alias("t"),
     )
-    done = allocate(df, "o", ascending("l"), "w", {"a": "t", "b": "t", "c": "t"})
-    plan = physical_plan(done)
-    assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1
-
-
-def test_hot_key_limit_is_bounded():
-    assert hot_module.MOST_KEYS <= 1000
+    done = allocate(df, "o", ascending("l"), "w", {"a": "t"})
+    by_task = done.groupBy(F.spark_partition_id()).count().collect()
+    assert len(by_task) > 1 and max(r["count"] for r in by_task) < 8000
+    assert "SinglePartition" not in physical_plan(done)
