@@ -660,6 +660,39 @@ def gold_allocate_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------- validity, keys, hashes
 
+_MANY_KEYS = "CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE o_custkey END"
+
+
+@query(
+    "gold_long_history_join",
+    f"""WITH o AS (SELECT {_MANY_KEYS} AS k, o_orderkey,
+                          CAST(o_orderdate AS TIMESTAMP) + (o_orderkey % 24) * INTERVAL 1 HOUR AS t FROM orders),
+             h AS (SELECT k, o_orderkey AS entry, t AS s,
+                          CASE WHEN o_orderkey % 500 <> 0
+                               THEN t + (o_orderkey % 7) * (o_orderkey % 11) * INTERVAL 5 HOUR END AS e FROM o)
+        SELECT o.k, o.o_orderkey, entry
+        FROM o LEFT JOIN h ON h.k = o.k AND t - INTERVAL 2 HOUR >= s AND (e IS NULL OR t - INTERVAL 2 HOUR <= e)""",
+)
+def gold_long_history_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histories that overlap and change within a day; one key has a third of all rows and entries."""
+    hours = F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
+    orders = table(spark, sf_dir, "orders").select(
+        F.expr(_MANY_KEYS).alias("k"),
+        "o_orderkey",
+        (F.col("o_orderdate").cast("timestamp_ntz") + hours).alias("t"),
+    )
+    length = F.make_dt_interval(hours=((F.col("o_orderkey") % 7) * (F.col("o_orderkey") % 11) * 5).cast("int"))
+    history = orders.select(
+        F.col("k").alias("h"),
+        F.col("o_orderkey").alias("entry"),
+        F.col("t").alias("s"),
+        F.when(F.col("o_orderkey") % 500 != 0, F.col("t") + length).alias("e"),
+    )
+    rows = orders.withColumn("t", F.col("t") - F.make_dt_interval(hours=F.lit(2)))
+    found = valid_at(rows, history, key="k", history_key="h", at="t", start="s", end="e", columns=["entry"])
+    return found.select("k", "o_orderkey", "entry")
+
+
 
 def cost_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One cost per part and year; the last one is open, the first year has none."""

@@ -1,16 +1,15 @@
-"""Joining rows to the history entry that is valid at a point in time."""
+"""Joining rows to the history entries that are valid at a point in time."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kimberlite.sources.scratch import stage
-
-# From this many entries for one key, entries are matched by day as well.
-LONG_HISTORY = 10_000
+#: Entries of up to BASE**k seconds lie in buckets of that length, two at most.
+BASE = 16
+_OPEN = -1
 
 
 def valid_at(
@@ -22,49 +21,66 @@ def valid_at(
     end: str,
     columns: Sequence[str],
     history_key: str | None = None,
-    long_history: int = LONG_HISTORY,
 ) -> DataFrame:
     """Left join ``rows`` to every history entry whose closed interval holds ``at``.
 
-    ``end`` NULL means open. Most keys have few entries, so an equi-join with the
-    interval test as its condition is enough. For a key with a long history that
-    would test every entry for every row; its entries are spread over the days
-    they cover, within the days its rows need, and joined on (key, day).
+    ``end`` NULL means open. Entries lie in buckets of time about as long as they
+    are, so the different points in time of a key meet, for each bucket length
+    that the key has, only entries of one bucket: those that hold the point and
+    at most some BASE neighbours for each entry that overlaps them. Open entries
+    of a key are one bucket. Rows then take what their key and time has found, an
+    equi-join. The plan is the same for short and long histories.
     """
-    entries = history.select(
-        F.col(history_key or key).alias("_h_key"),
-        F.col(start).alias("_h_start"),
-        F.col(end).alias("_h_end"),
-        *columns,
+    kinds = [dict(rows.dtypes)[at], *(dict(history.dtypes)[c] for c in (start, end))]
+    seconds = _instant if "timestamp" in kinds else _wall_clock
+    first, last = seconds(F.col("_h_start")), seconds(F.col("_h_end"))
+    level = F.when(F.col("_h_end").isNull(), _OPEN).otherwise(F.ceil(F.log(float(BASE), last - first + 1)))
+    entries = (
+        history.select(
+            F.col(history_key or key).alias("_h_key"),
+            F.col(start).alias("_h_start"),
+            F.col(end).alias("_h_end"),
+            *columns,
+        )
+        .filter("_h_key is not null and _h_start is not null and (_h_end is null or _h_start <= _h_end)")
+        .withColumn("_h_level", level.cast("int"))
+    )
+    buckets = F.sequence(_bucket(first, "_h_level"), F.coalesce(_bucket(last, "_h_level"), F.lit(0).cast("bigint")))
+    lying = entries.withColumn("_h_bucket", F.explode(buckets))
+    lengths = entries.groupBy(F.col("_h_key").alias("_key")).agg(F.collect_set("_h_level").alias("_levels"))
+    points = (
+        rows.select(F.col(key).alias("_key"), F.col(at).alias("_at"))
+        .filter("_key is not null and _at is not null")
+        .distinct()
+        .join(lengths, "_key")
+        .withColumn("_level", F.explode("_levels"))
+        .withColumn("_bucket", _bucket(seconds(F.col("_at")), "_level"))
     )
-    holds = (F.col(at) >= F.col("_h_start")) & (
-        F.col("_h_end").isNull() | (F.col(at) <= F.col("_h_end"))
+    near = (
+        (F.col("_key") == F.col("_h_key"))
+        & (F.col("_level") == F.col("_h_level"))
+        & (F.col("_bucket") == F.col("_h_bucket"))
     )
-    same_key = F.col(key) == F.col("_h_key")
-    output = [*rows.columns, *columns]
+    holds = (F.col("_at") >= F.col("_h_start")) & (
+        F.col("_h_end").isNull() | (F.col("_at") <= F.col("_h_end"))
+    )
+    found = points.join(lying, near & holds).select("_key", "_at", *columns)
+    same = (F.col(key) == F.col("_key")) & (F.col(at) == F.col("_at"))
+    return rows.join(found, same, "left").select(*rows.columns, *columns)
 
-    counted = entries.filter(F.col("_h_key").isNotNull()).groupBy(F.col("_h_key").alias("_long"))
-    long_keys = counted.count().filter(F.col("count") >= long_history).select("_long")
-    if long_keys.isEmpty():
-        return rows.join(entries, same_key & holds, "left").select(*output)
 
-    # At most one key for every ``long_history`` entries.
-    long_keys = stage(long_keys, "long-history")
-    usual = rows.join(long_keys, F.col(key) == F.col("_long"), "left_anti")
-    joined = usual.join(entries, same_key & holds, "left").select(*output)
+def _bucket(seconds: Column, level: str) -> Column:
+    """Number of the time's bucket; all times are in bucket 0 of open entries."""
+    length = F.pow(F.lit(float(BASE)), F.col(level))
+    return F.when(F.col(level) == _OPEN, F.lit(0)).otherwise(F.floor(seconds / length)).cast("bigint")
 
-    long_rows = rows.join(long_keys, F.col(key) == F.col("_long"), "left_semi")
-    span = long_rows.agg(
-        F.min(F.col(at).cast("date")).alias("low"), F.max(F.col(at).cast("date")).alias("high")
-    ).first()
-    first_day = F.greatest(F.col("_h_start").cast("date"), F.lit(span["low"]).cast("date"))
-    last_day = F.least(F.col("_h_end").cast("date"), F.lit(span["high"]).cast("date"))
-    daily = (
-        entries.join(long_keys, F.col("_h_key") == F.col("_long"), "left_semi")
-        .withColumns({"_first": first_day, "_last": last_day})
-        .filter(F.lit(span["low"] is not None) & (F.col("_first") <= F.col("_last")))
-        .withColumn("_day", F.explode(F.sequence("_first", "_last")))
-    )
-    same_day = F.col(at).cast("date") == F.col("_day")
-    long_joined = long_rows.join(daily, same_key & same_day & holds, "left").select(*output)
-    return joined.unionByName(long_joined)
+
+def _wall_clock(time: Column) -> Column:
+    """Whole seconds of a date or a time without zone, growing with it."""
+    time = time.cast("timestamp_ntz")
+    days = F.datediff(time.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 86400 + F.hour(time) * 3600 + F.minute(time) * 60 + F.floor(F.second(time))
+
+
+def _instant(time: Column) -> Column:
+    return F.unix_seconds(time.cast("timestamp"))

@@ -153,9 +153,7 @@ def test_valid_at_bounds_and_overlaps(spark):
          (8, None), (9, None)], key=repr,
     )
     args = dict(key="p", at="d", start="s", end="e", columns=["cost"])
-    for long_history in (100, 2, 1):
-        found = valid_at(rows, history(spark), long_history=long_history, **args).select("id", "cost")
-        assert rows_of(found) == wanted
+    assert rows_of(valid_at(rows, history(spark), **args).select("id", "cost")) == wanted
 
 
 def test_valid_at_long_history_against_brute_force(spark):
@@ -174,10 +172,7 @@ def test_valid_at_long_history_against_brute_force(spark):
         wanted += [(i, c) for c in hits] or [(i, None)]
     left = spark.createDataFrame(rows, "id int, p int, t timestamp_ntz")
     right = spark.createDataFrame(entries, "p int, s timestamp_ntz, e timestamp_ntz, cost double")
-    found = valid_at(
-        left, right, key="p", at="t", start="s", end="e", columns=["cost"],
-        long_history=200,
-    )
+    found = valid_at(left, right, key="p", at="t", start="s", end="e", columns=["cost"])
     assert rows_of(found.select("id", "cost")) == sorted(wanted, key=repr)
 
 
