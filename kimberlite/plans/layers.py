@@ -75,8 +75,9 @@ def run_layer(
     layer: str,
     builders: Mapping[str, Callable[[], DataFrame]],
     needs: Mapping[str, Sequence[str]] | None = None,
+    partition_by: Mapping[str, Sequence[str]] | None = None,
 ) -> dict[str, int]:
-    """Write every table of a layer and return its row counts.
+    """Write every table of a layer, partitioned as ``partition_by`` says, and return its row counts.
 
     A table that fails is logged and skipped with everything built on it; one
     error at the end names all of them.
@@ -84,7 +85,7 @@ def run_layer(
 
     def write(name: str) -> int:
         with staging(lake.spark):
-            rows = lake.overwrite(builders[name](), layer, name)
+            rows = lake.overwrite(builders[name](), layer, name, (partition_by or {}).get(name, ()))
         logger.info("%s.%s: %d rows", layer, name, rows)
         return rows
 
@@ -113,21 +114,35 @@ def run_silver(lake: Lake, entities: Sequence[silver.Entity] = silver.ENTITIES)
     )
 
 
-def run_gold(lake: Lake, models: Sequence[gold.Model] = gold.MODELS) -> dict[str, int]:
+def run_gold(
+    lake: Lake,
+    models: Sequence[gold.Model] = gold.MODELS,
+    partition_by: Mapping[str, Sequence[str]] | None = None,
+) -> dict[str, int]:
+    """The gold layer. A fact partitioned by ``order_date_key`` is read by period only."""
     tables = LakeTables(lake)
     return run_layer(
         lake,
         GOLD,
         {m.name: (lambda m=m: m.build(tables)) for m in models},
         {m.name: m.gold for m in models},
+        partition_by,
     )
 
 
-def run_all(spark: SparkSession, raw_folder: str, lake_root: str) -> dict[str, dict[str, int]]:
-    """Full load of the three layers; a failed layer stops the next one."""
+def run_all(
+    spark: SparkSession,
+    raw_folder: str,
+    lake_root: str,
+    partition_by: Mapping[str, Sequence[str]] | None = None,
+) -> dict[str, dict[str, int]]:
+    """Full load of the three layers; a failed layer stops the next one.
+
+    ``partition_by`` names partition columns of gold tables.
+    """
     lake = Lake(spark, lake_root)
     return {
         BRONZE: run_bronze(lake, raw_folder),
         SILVER: run_silver(lake),
-        GOLD: run_gold(lake),
+        GOLD: run_gold(lake, partition_by=partition_by),
     }

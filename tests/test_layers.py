@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from raw_files import RAW
 
 from kimberlite.catalog.models import comparable, with_tables
-from kimberlite.plans import gold, silver
+from kimberlite.plans import bi, gold, silver
 from kimberlite.plans.layers import (
     LakeTables,
     LayerFailed,
@@ -132,6 +132,34 @@ def test_second_run_replaces_the_tables(loaded):
     assert LakeTables(lake).gold("dim_currency").count() == counts[GOLD]["dim_currency"]
 
 
+def test_a_period_reads_its_partitions_of_the_fact(loaded):
+    lake, counts, sources = loaded
+    written = run_gold(lake, [gold.BY_NAME["dim_date"]])
+    fact = LakeTables(lake).gold("fact_internet_sales")
+    parts = Lake(lake.spark, f"{lake.root}/partitioned")
+    parts.overwrite(fact, GOLD, "fact_internet_sales", ["order_date_key"])
+    for name in ("dim_date", "dim_sales_territory"):
+        assert parts.overwrite(lake.read(GOLD, name), GOLD, name) == counts[GOLD][name]
+    assert written == {"dim_date": 3652}
+    report = bi.sales_overview(
+        LakeTables(parts), by=["month_number_of_year"], where=F.col("calendar_year") == 2013, slicers=["calendar_year"]
+    )
+    plan = report._jdf.queryExecution().toString()
+    scans = [line for line in plan.split("\n") if "sales_amount" in line and "PartitionFilters" in line]
+    assert scans and all("dynamicpruning" in line.split("PartitionFilters")[1] for line in scans)
+    assert {r.month_number_of_year for r in report.collect()} == {5}
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    assert lake.overwrite(spark.range(3), GOLD, "t") == 3
+    broken = spark.range(5).select(F.raise_error(F.lit("no")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        lake.overwrite(broken, GOLD, "t")
+    assert lake.read(GOLD, "t").count() == 3
+    assert [p.name for p in (tmp_path / GOLD).iterdir() if not p.name.startswith(".")] == ["t.parquet"]
+
+
 def test_a_failing_table_does_not_stop_the_others(spark, tmp_path, caplog):
     raw = write_raw(tmp_path / "raw", ["SalesCurrency", "SalesSpecialOffer"])
     (tmp_path / "raw" / "Bad.csv").write_text("a,b\n1,2,3\n")
