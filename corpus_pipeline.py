@@ -20,9 +20,8 @@ from kimberlite.llm.near_dups import near_duplicates
 from kimberlite.llm.queries import tokenizer_path
 from kimberlite.llm.row_keys import once, rows_with
 from kimberlite.llm.shipping import ship
-from kimberlite.llm.staged import broadcast_if_few
 from kimberlite.llm.token_files import read_tokens, write_tokens
-from kimberlite.sources.scratch import scratch_root, stage as staged
+from kimberlite.sources.scratch import scratch_root
 
 _KEY = ("doc_id", "text")
 
@@ -38,11 +37,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id."""
     ship(spark)
-    found = near_duplicates(docs)
-    heads = found.filter("kept and doc_id is not null").groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"))
-    nameless = found.filter("doc_id is null").select("doc_id", "text_hash")
-    kept = rows_with(docs, heads.unionByName(nameless), *_KEY, "left_semi")
-    return once(kept, found.filter("doc_id is not null"), *_KEY)
+    found = near_duplicates(docs).filter("doc_id is not null")
+    dropped = found.filter("not kept")
+    # Texts that share an id and are near duplicates: the smallest hash stays.
+    heads = found.filter("kept").groupBy("doc_id").agg(F.min("text_hash").alias("__least"), F.max("text_hash").alias("__most"))
+    several = heads.filter("__least < __most")
+    others = found.filter("kept").join(several, "doc_id").filter("text_hash > __least").select(*dropped.columns)
+    kept = rows_with(docs, dropped.unionByName(others), *_KEY, "left_anti")
+    return once(kept, found, *_KEY)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,14 +60,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mixed = mix(docs)
     key = ["doc_id", "source", "text_hash"]
     taken = mixed.groupBy(*key).agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
-    taken = staged(taken.filter("__copies > 0").withColumnsRenamed({k: f"__{k}" for k in key}), "copies")
-    few = broadcast_if_few(taken)
+    taken = taken.filter("__copies > 0").withColumnsRenamed({k: f"__{k}" for k in key})
     same = (
-        docs["doc_id"].eqNullSafe(few["__doc_id"])
-        & docs["source"].eqNullSafe(few["__source"])
-        & (F.xxhash64(docs["text"]) == few["__text_hash"])
+        docs["doc_id"].eqNullSafe(taken["__doc_id"])
+        & docs["source"].eqNullSafe(taken["__source"])
+        & (F.xxhash64(docs["text"]) == taken["__text_hash"])
     )
-    joined = docs.join(few, same)
+    joined = docs.join(taken, same)
     marks = ["__doc_id", "__source", "__text_hash"]
     chosen = joined.filter("__rows = 1").unionByName(joined.filter("__rows > 1").dropDuplicates(marks))
     copies = F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kimberlite.catalog.registry import table
-from kimberlite.llm import language, language_model, toxicity
+from kimberlite.llm import language, language_model, sql, toxicity
 from kimberlite.llm.chunk_dedup import drop_repeated_chunks
 from kimberlite.llm.decontaminate import contamination
 from kimberlite.llm.mixing import mix
@@ -25,7 +25,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
         @functools.wraps(run)
         def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,20 +33,20 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
             return run(spark, sf_dir)
 
         QUERIES[name] = shipped
-        if sql is not None:
-            ORACLES[name] = sql
+        if oracle is not None:
+            ORACLES[name] = oracle
         return run
 
     return register
 
 
-@query("op7_near_duplicates")
+@query("op7_near_duplicates", sql.NEAR_DUPLICATES)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
-@query("op1_benchmark_contamination")
+@query("op1_benchmark_contamination", sql.CONTAMINATION)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), span_words=10)
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["last"] - s["first"] + 1)
@@ -103,7 +103,7 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@query("op4_near_vectors")
+@query("op4_near_vectors", sql.NEAR_VECTORS)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), least_cosine=0.9)
 

@@ -16,9 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kimberlite.llm.staged import broadcast_if_few
 from kimberlite.llm.words import blocks, mix
-from kimberlite.sources.scratch import stage
 
 _KEY = ["key_1", "key_2"]
 _PLACE = ["rank", "hash", "part"]
@@ -77,8 +75,8 @@ def later_ones(found: DataFrame) -> DataFrame:
     """Of staged ``occurrences``, all but the first of each digest, with the first's place."""
     place = F.struct(*_PLACE)
     first = found.groupBy(*_KEY).agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    repeated = stage(first.filter("first <> last").select(*_KEY, "first"), "repeated")
-    return found.join(broadcast_if_few(repeated), _KEY).filter(place != F.col("first"))
+    repeated = first.filter("first <> last").select(*_KEY, "first")
+    return found.join(repeated, _KEY).filter(place != F.col("first"))
 
 
 def cut(texts: DataFrame, later: DataFrame, split: Splitter) -> DataFrame:

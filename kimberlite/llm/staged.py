@@ -23,8 +23,8 @@ def result(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
     return spark.read.schema(made.schema).parquet(path)
 
 
-#: Rows of a few plain columns that are broadcast at most.
-BROADCAST_ROWS = 1_000_000
+#: Rows of two or three plain columns that are broadcast at most: a few MB.
+BROADCAST_ROWS = 200_000
 
 
 def if_few(staged: DataFrame) -> DataFrame | None:

@@ -67,8 +67,8 @@ def word_scores(model: Model, letters: Letters) -> np.ndarray:
 
     A word that repeats one of the two before it tells nothing new and scores 0.
     """
-    hashes = letters.words()
-    _, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+    words = letters.words()
+    _, first, place = np.unique(words, return_index=True, return_inverse=True)
     best = np.zeros(len(letters.start))
     if len(model.hashes):
         for which, hashes in features(letters, first):
@@ -77,7 +77,7 @@ def word_scores(model: Model, letters: Letters) -> np.ndarray:
             best[which[known]] = np.maximum(best[which[known]], model.scores[at[known]])
     scores = best[first][place]
     for back in (1, 2):
-        scores[back:][hashes[back:] == hashes[:-back]] = 0
+        scores[back:][words[back:] == words[:-back]] = 0
     return scores
 
 
