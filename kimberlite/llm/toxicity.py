@@ -29,7 +29,9 @@ from kimberlite.sources.scratch import stage, staging
 #: Letters of the prefixes that score beside the whole word.
 PREFIXES = (4, 5, 6)
 #: What an ordinary word costs a segment.
-DRIFT = 0.5
+DRIFT = 0.25
+#: Log-odds that a feature must surely have; only what is above them scores.
+MARGIN = 1.0
 #: Standard deviations from the log-odds to what counts of them.
 _CAUTION = 1.65
 #: Mass of the priors, as a share of what is counted.
@@ -190,7 +192,7 @@ def _scored(hashes, table, sums, toxic=None, toxic_sums=None) -> Model:
     prior, mass = _PRIOR_SHARE * (clean + bad + 1e-9), _PRIOR_SHARE * max(1.0, n_clean + n_bad)
     odds = np.log((bad + prior) / (n_bad + mass)) - np.log((clean + prior) / (n_clean + mass))
     spread = np.sqrt(1 / (bad + prior) + 1 / (clean + prior))
-    score = np.minimum(odds - _CAUTION * spread, _MOST_ODDS)
+    score = np.minimum(odds - _CAUTION * spread - MARGIN, _MOST_ODDS)
     keep = score > DRIFT
     return Model(hashes[keep], score[keep])
 
