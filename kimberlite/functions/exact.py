@@ -28,16 +28,24 @@ def to_decimal(value: Column, precision: int, scale: int) -> Column:
 
 
 def double_text(value: Column) -> Column:
-    """Shortest text of a double: plain digits from 1e-4 up to 1e16, else like ``1e-05``."""
-    short = value.cast("string")
+    """Shortest text of a double: plain digits from 1e-4 up to 1e16, else like ``1e-05``.
+
+    The JVM's own text has a digit too many for some large doubles, so there the
+    fewest digits are taken that read back as the same double.
+    """
     size = F.abs(value)
-    digits = F.regexp_replace(value.cast("decimal(38,20)").cast("string"), r"(\.\d+?)0*$", "$1")
-    power = F.regexp_replace(short, r"(\.0)?E(\d)", "E+$2")
-    power = F.regexp_replace(power, r"(\.0)?E-(\d+)$", "E-0$2")
-    power = F.regexp_replace(power, r"E-0(\d\d)", "E-$1")
-    power = F.lower(F.replace(power, F.lit("inity"), F.lit("")))
+    plain = F.rtrim(value.cast("decimal(38,20)").cast("string"), F.lit("0"))
+    plain = F.when(F.endswith(plain, F.lit(".")), F.concat(plain, F.lit("0"))).otherwise(plain)
+    exact = F.format_string("%.16e", value)
+    for digits in (15, 14):
+        fewer = F.format_string(f"%.{digits}e", value)
+        exact = F.when(fewer.try_cast("double") == value, fewer).otherwise(exact)
+    mantissa = F.rtrim(F.rtrim(F.substring_index(exact, "e", 1), F.lit("0")), F.lit("."))
+    power = F.concat(mantissa, F.lit("e"), F.substring_index(exact, "e", -1))
     return (
-        F.when((size == 0) | ((size >= 1e-3) & (size < 1e7)), short)
-        .when((size >= 1e-4) & (size < 1e16), digits)
-        .otherwise(power)
+        F.when((size == 0) | ((size >= 1e-3) & (size < 1e7)), value.cast("string"))
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .when(F.isnan(value), "nan")
+        .when(size == float("inf"), F.when(value > 0, "inf").otherwise("-inf"))
+        .when(value.isNotNull(), power)
     )

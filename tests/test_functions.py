@@ -65,6 +65,9 @@ def doubles():
     rng = random.Random(7)
     values = [0.0, -0.0, 1e-4, 9.99e-5, 1e16, 9.99e15, 1e7, 9999999.0, 0.00099, -1e-7, float("inf")]
     values += [rng.uniform(-1, 1) * 10 ** rng.randint(-10, 15) for _ in range(3000)]
+    values += [1.801947368421053e16, 1.7976931348623157e308, 2.2250738585072014e-308, 1e22, 1e23]
+    values += [rng.uniform(-1, 1) * 10.0 ** rng.randint(-300, 300) for _ in range(2000)]
+    values += [float("-inf"), float("nan")]
     return values + [None]
 
 
@@ -82,7 +85,7 @@ def test_double_text_matches(spark):
 def test_to_decimal_matches_on_ties(spark, precision, scale):
     rng = random.Random(3)
     values = [rng.randint(-(10**7), 10**7) / 10**5 + 0.00005 for _ in range(5000)]
-    values += [v for v in doubles() if v is None or abs(v) < 1e9]
+    values += [v for v in doubles() if v is None or 1e-9 < abs(v) < 1e9]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
     found = df.orderBy("i").select(to_decimal(F.col("x"), precision, scale).alias("d"))
     assert dict(found.dtypes)["d"] == f"decimal({precision},{scale})"
