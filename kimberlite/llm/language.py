@@ -18,15 +18,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kimberlite.llm.row_keys import told_apart
-from kimberlite.llm.words import BLOCK_BYTES, blocks, mix
+from kimberlite.llm.words import blocks, mix, power
 
 UNKNOWN = "und"
 #: Orders of character n-grams, tried in this order.
 ORDERS = (4, 3, 2, 1)
 _WORD = 0  # order of whole words in the model
 _SMOOTH = 0.5
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -40,19 +38,9 @@ def _code_points() -> np.ndarray:
                 low = c.lower()
                 lower[i] = ord(low) if len(low) == 1 else i
         _tables["lower"] = lower
-        _tables["up"] = np.multiply.accumulate(np.r_[np.uint64(1), np.full(2 * BLOCK_BYTES, _BASE)])
-        _tables["down"] = np.multiply.accumulate(np.r_[np.uint64(1), np.full(2 * BLOCK_BYTES, _INVERSE)])
     return _tables["lower"]
 
 
-def _powers(which: str, n: int) -> np.ndarray:
-    held = _tables[which]
-    if len(held) >= n:
-        return held[:n]
-    base = _BASE if which == "up" else _INVERSE
-    return np.multiply.accumulate(np.r_[np.uint64(1), np.full(n - 1, base)])
-
-
 @dataclass
 class Letters:
     """Words of some texts as code points; ``gram`` hashes any stretch of them."""
@@ -91,11 +79,11 @@ def letters_of(texts: list[bytes]) -> Letters:
     start, end = edges[0::2], edges[1::2]
     sums = np.zeros(len(lower) + 1, np.uint64)
     values = mix(lower.astype(np.uint64) + np.uint64(1))
-    np.cumsum(values * _powers("up", len(lower)), out=sums[1:])
+    np.cumsum(values * power("up", len(lower)), out=sums[1:])
     lengths = np.fromiter(map(len, strings), np.int64, len(strings))
     base = np.cumsum(lengths + 1) - lengths
     doc = np.searchsorted(base, start, side="right") - 1
-    return Letters(start, end, doc, sums, _powers("down", len(lower) + 1), base, len(texts))
+    return Letters(start, end, doc, sums, power("down", len(lower) + 1), base, len(texts))
 
 
 @dataclass

@@ -1,4 +1,4 @@
-"""Sending the package's code to the workers, which may not have it installed."""
+"""What a session needs before it runs the operators."""
 
 from __future__ import annotations
 
@@ -11,10 +11,18 @@ from pyspark.sql import SparkSession
 import kimberlite
 
 _shipped: set[str] = set()
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_DEFAULT_ROWS, _TEXT_ROWS = "10000", "1000"
 
 
 def ship(spark: SparkSession) -> None:
-    """Once per application, add the package as a zip file for workers to import from."""
+    """Send the package's code to the workers, once per application, and keep Arrow batches small.
+
+    Workers may not have the package installed. Rows are whole texts, so where the
+    session has Spark's default of 10 000 rows for a batch it gets 1000.
+    """
+    if spark.conf.get(_BATCH_ROWS) == _DEFAULT_ROWS:
+        spark.conf.set(_BATCH_ROWS, _TEXT_ROWS)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

@@ -28,8 +28,10 @@ from kimberlite.llm.shared_files import read_from, write_to
 from kimberlite.llm.words import BLANK_SEPARATED, blocks, words_of
 from kimberlite.sources.scratch import scratch_root, stage
 
-#: Distinct pieces of text whose ids a worker keeps.
+#: Distinct pieces of text whose ids a worker keeps; about 20 bytes each.
 CACHED_PIECES = 2_000_000
+#: Pieces that the tokenizer gets at once.
+_ENCODED = 2_000
 #: Sequences per record batch.
 BATCH_SEQUENCES = 64
 
@@ -58,13 +60,14 @@ class Encoder:
         self.by_pieces = by_pieces
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [t.content.lower().encode() for t in added]
+        self.kind = _id_kind(self.tokenizer.get_vocab_size(with_added_tokens=True))
         self._forget()
 
     def _forget(self) -> None:
         self.hashes = np.empty(0, np.uint64)
-        self.begin = np.empty(0, np.int64)
-        self.count = np.empty(0, np.int64)
-        self.ids = np.empty(1 << 16, np.uint32)
+        self.begin = np.empty(0, np.uint32)
+        self.count = np.empty(0, np.uint32)
+        self.ids = np.empty(1 << 16, self.kind)
         self.used = 0
 
     @classmethod
@@ -74,9 +77,11 @@ class Encoder:
             _encoders[path, by_pieces] = cls(path, by_pieces)
         return _encoders[path, by_pieces]
 
-    def _encode(self, texts: list[bytes]) -> list[list[int]]:
-        strings = [t.decode("utf-8", "replace") for t in texts]
-        return [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+    def _encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        for at in range(0, len(texts), _ENCODED):
+            strings = [t.decode("utf-8", "replace") for t in texts[at : at + _ENCODED]]
+            for found in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False):
+                yield np.array(found.ids, self.kind)
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in turn, each with its end id, and how many each has."""
@@ -84,7 +89,7 @@ class Encoder:
         apart = dict(zip(whole, self._encode([texts[i] for i in whole])))
         words = words_of([b"" if i in apart else t for i, t in enumerate(texts)], BLANK_SEPARATED, _KINDS)
         at = self._find(words)
-        begin, count = self.begin[at], self.count[at]
+        begin, count = self.begin[at].astype(np.int64), self.count[at].astype(np.int64)
         n = np.bincount(words.doc, weights=count, minlength=len(texts)).astype(np.int64)
         for i, ids in apart.items():
             n[i] = len(ids)
@@ -117,15 +122,15 @@ class Encoder:
             new = np.ones(len(kinds), bool)
         if new.any():
             pieces = [words.data[words.start[i] : words.end[i]].tobytes() for i in first[new]]
-            ids = self._encode(pieces)
+            ids = list(self._encode(pieces))
             count = np.fromiter(map(len, ids), np.int64, len(ids))
             total = int(count.sum())
             if self.used + total > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty(len(self.ids) + total, np.uint32)])
-            self.ids[self.used : self.used + total] = np.fromiter((x for i in ids for x in i), np.uint32, total)
+                self.ids = np.concatenate([self.ids, np.empty(len(self.ids) // 2 + total, self.kind)])
+            self.ids[self.used : self.used + total] = np.concatenate(ids)
             place = np.searchsorted(self.hashes, kinds[new])
-            self.begin = np.insert(self.begin, place, self.used + np.cumsum(count) - count)
-            self.count = np.insert(self.count, place, count)
+            self.begin = np.insert(self.begin, place, (self.used + np.cumsum(count) - count).astype(np.uint32))
+            self.count = np.insert(self.count, place, count.astype(np.uint32))
             self.hashes = np.insert(self.hashes, place, kinds[new])
             self.used += total
         return np.searchsorted(self.hashes, kinds)[which]
@@ -198,12 +203,16 @@ def write_tokens(
     return listing.withColumn("start", start).withColumnRenamed("id", id_column)
 
 
+def _id_kind(vocabulary: int) -> type:
+    return np.uint16 if vocabulary <= 1 << 16 else np.uint32
+
+
 class SequenceWriter:
     """Cuts ids into sequences and writes them as record batches."""
 
     def __init__(self, path: str, length: int, vocabulary: int):
         self.path, self.length, self.written = path, length, 0
-        self.kind = np.uint16 if vocabulary <= 1 << 16 else np.uint32
+        self.kind = _id_kind(vocabulary)
         self.schema = pa.schema(
             [
                 ("input_ids", pa.list_(pa.from_numpy_dtype(self.kind), length)),

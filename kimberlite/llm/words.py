@@ -18,7 +18,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse modulo 2
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 
 #: Blocks of texts end at this many bytes; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def _table(pattern_excluded: list[tuple[int, int]]) -> np.ndarray:
@@ -51,7 +51,8 @@ _FOLDED[ord("A") : ord("Z") + 1] = _EXACT[ord("a") : ord("z") + 1]
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
-def _power(which: str, n: int) -> np.ndarray:
+def power(which: str, n: int) -> np.ndarray:
+    """The first powers of the base ("up") or of its inverse ("down")."""
     held = _powers[which]
     if len(held) < n:
         base = _BASE if which == "up" else _INVERSE
@@ -98,8 +99,8 @@ def words_of(
         cuts = np.flatnonzero(kind[1:] + kind[:-1] == 3) + 1
         start, end = np.sort(np.append(start, cuts)), np.sort(np.append(end, cuts))
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((_EXACT if exact else _FOLDED)[data] * _power("up", len(data)), out=sums[1:])
-    hashes = mix((sums[end] - sums[start]) * _power("down", len(data))[start])
+    np.cumsum((_EXACT if exact else _FOLDED)[data] * power("up", len(data)), out=sums[1:])
+    hashes = mix((sums[end] - sums[start]) * power("down", len(data))[start])
     first = np.searchsorted(start, np.append(base, len(data)))
     doc = np.repeat(np.arange(len(texts)), np.diff(first))
     return Words(data, start, end, doc, hashes, first, base)
@@ -143,5 +144,5 @@ def starts_inside(words: Words, n: int) -> np.ndarray:
 def stretches(hashes: np.ndarray, first: np.ndarray, beyond: np.ndarray) -> np.ndarray:
     """Hash of the words from ``first`` up to ``beyond``, for stretches of any length."""
     sums = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * _power("up", len(hashes)), out=sums[1:])
-    return mix((sums[beyond] - sums[first]) * _power("down", len(hashes) + 1)[first])
+    np.cumsum(hashes * power("up", len(hashes)), out=sums[1:])
+    return mix((sums[beyond] - sums[first]) * power("down", len(hashes) + 1)[first])
