@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from kimberlite.llm.repeats import Parts, cut, later_ones, occurrences, ranked
 from kimberlite.llm.staged import broadcast_if_few, result
-from kimberlite.llm.words import NO_LINE_END, blocks, grams, stretches, words_of
+from kimberlite.llm.words import EXACT, NO_LINE_END, blocks, grams, placed, stretches, words_of
 from kimberlite.sources.scratch import stage
 
 
@@ -26,8 +26,7 @@ def chunks(texts: list[bytes], mean_lines: int, window: int, least_lines: int) -
     lines = words_of(texts, NO_LINE_END, exact=True)
     n = len(lines.start)
     if not n:
-        none = np.empty(0, np.int64)
-        return Parts(none, none, none, np.empty(0, np.uint64), np.empty(0, bool))
+        return Parts.none()
     ends = np.zeros(n, bool)
     rolling = grams(lines.hash, window)
     whole = lines.doc[: len(rolling)] == lines.doc[window - 1 :] if len(rolling) else np.empty(0, bool)
@@ -42,6 +41,7 @@ def chunks(texts: list[bytes], mean_lines: int, window: int, least_lines: int) -
         lines.start[first] - lines.base[doc],
         lines.end[beyond - 1] - lines.base[doc],
         stretches(lines.hash, first, beyond),
+        placed(lines.data, lines.start[first], lines.end[beyond - 1], EXACT),
         beyond - first >= least_lines,
     )
 

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kimberlite.llm.words import blocks, mix
+from kimberlite.llm.words import blocks
 
 _KEY = ["key_1", "key_2"]
 _PLACE = ["rank", "hash", "part"]
@@ -24,10 +24,24 @@ _LAST = (1 << 63) - 1
 
 
 class Parts:
-    """Parts of a block of texts: text number, byte range in it, 64-bit hash, whether they count."""
-
-    def __init__(self, doc: np.ndarray, begin: np.ndarray, end: np.ndarray, hash: np.ndarray, counts: np.ndarray):
-        self.doc, self.begin, self.end, self.hash, self.counts = doc, begin, end, hash, counts
+    """Parts of a block of texts: text number, byte range in it, two independent 64-bit hashes, whether they count."""
+
+    def __init__(
+        self,
+        doc: np.ndarray,
+        begin: np.ndarray,
+        end: np.ndarray,
+        hash_1: np.ndarray,
+        hash_2: np.ndarray,
+        counts: np.ndarray,
+    ):
+        self.doc, self.begin, self.end, self.counts = doc, begin, end, counts
+        self.hash_1, self.hash_2 = hash_1, hash_2
+
+    @classmethod
+    def none(cls) -> Parts:
+        places, hashes = np.empty(0, np.int64), np.empty(0, np.uint64)
+        return cls(places, places, places, hashes, hashes, np.empty(0, bool))
 
     def numbers(self) -> np.ndarray:
         """Each part's number in its text."""
@@ -58,8 +72,8 @@ def occurrences(texts: DataFrame, split: Splitter) -> DataFrame:
                 at = pa.array(parts.doc[use])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(parts.hash[use].view(np.int64)),
-                        pa.array(mix(parts.hash[use] ^ (parts.end - parts.begin)[use].astype(np.uint64)).view(np.int64)),
+                        pa.array(parts.hash_1[use].view(np.int64)),
+                        pa.array(parts.hash_2[use].view(np.int64)),
                         batch.column("rank").slice(begun, len(some)).take(at),
                         batch.column("hash").slice(begun, len(some)).take(at),
                         pa.array(parts.numbers()[use].astype(np.int32)),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from kimberlite.llm.repeats import Parts, cut, later_ones, occurrences, ranked
 from kimberlite.llm.staged import result
-from kimberlite.llm.words import BLANK_SEPARATED, stretches, words_of
+from kimberlite.llm.words import BLANK_SEPARATED, FOLDED, placed, stretches, words_of
 from kimberlite.sources.scratch import stage
 
 _SENTENCE_END = np.isin(np.arange(256), [ord(c) for c in ".!?"])
@@ -21,8 +21,7 @@ _SENTENCE_END = np.isin(np.arange(256), [ord(c) for c in ".!?"])
 def units(texts: list[bytes], kind: str, least_words: int) -> Parts:
     words = words_of(texts, BLANK_SEPARATED)
     if not len(words.start):
-        none = np.empty(0, np.int64)
-        return Parts(none, none, none, np.empty(0, np.uint64), np.empty(0, bool))
+        return Parts.none()
     lines = np.cumsum(words.data == ord("\n"))[words.start]
     breaks = np.diff(lines) > (1 if kind == "paragraph" else 0)
     if kind == "sentence":
@@ -36,6 +35,7 @@ def units(texts: list[bytes], kind: str, least_words: int) -> Parts:
         words.start[first] - words.base[doc],
         words.end[beyond - 1] - words.base[doc],
         stretches(words.hash, first, beyond),
+        placed(placed(words.data, words.start, words.end, FOLDED), first, beyond),
         beyond - first >= least_words,
     )
 

@@ -48,6 +48,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 _EXACT = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 _FOLDED = _EXACT.copy()
 _FOLDED[ord("A") : ord("Z") + 1] = _EXACT[ord("a") : ord("z") + 1]
+#: Bytes with A-Z as a-z, and as they are.
+FOLDED = np.arange(256, dtype=np.uint64)
+FOLDED[ord("A") : ord("Z") + 1] += np.uint64(32)
+EXACT = np.arange(256, dtype=np.uint64)
+_SALT = np.uint64(0xD1B54A32D192ED03)
+#: Values that ``placed`` works on at once.
+_STEP = 1 << 20
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
@@ -146,3 +153,25 @@ def stretches(hashes: np.ndarray, first: np.ndarray, beyond: np.ndarray) -> np.n
     sums = np.zeros(len(hashes) + 1, np.uint64)
     np.cumsum(hashes * power("up", len(hashes)), out=sums[1:])
     return mix((sums[beyond] - sums[first]) * power("down", len(hashes) + 1)[first])
+
+
+def placed(values: np.ndarray, first: np.ndarray, beyond: np.ndarray, codes: np.ndarray | None = None) -> np.ndarray:
+    """Another hash of the values from ``first`` up to ``beyond``, which shares nothing with ``stretches``.
+
+    The sum, over the values (their ``codes``, if given), of a mix of the value
+    and its place. Stretches may overlap.
+    """
+    lengths = beyond - first
+    edges = np.concatenate([[0], np.cumsum(lengths)])
+    out = np.zeros(len(first), np.uint64)
+    for a in range(0, int(edges[-1]), _STEP):
+        b = min(a + _STEP, int(edges[-1]))
+        low, high = np.searchsorted(edges, a, "right") - 1, np.searchsorted(edges, b, "left")
+        begin, end = np.maximum(edges[low:high], a), np.minimum(edges[low + 1 : high + 1], b)
+        at = np.arange(a, b) - np.repeat(edges[low:high], end - begin)
+        value = values[np.repeat(first[low:high], end - begin) + at]
+        cells = mix((value if codes is None else codes[value]) ^ mix(at.astype(np.uint64) + _SALT))
+        sums = np.zeros(b - a + 1, np.uint64)
+        np.cumsum(cells, out=sums[1:])
+        out[low:high] += sums[end - a] - sums[begin - a]
+    return mix(out ^ mix(lengths.astype(np.uint64)))

@@ -1,11 +1,15 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from llm_samples import BLANK_SEPARATED, documents, frame, prose, words
 
+from kimberlite.llm import words as llm_words
 from kimberlite.llm.chunk_dedup import drop_repeated_chunks
 from kimberlite.llm.unit_dedup import drop_repeated_units
+from kimberlite.llm.unit_dedup import units as units_of
+from kimberlite.llm.words import placed
 
 
 def lines_of(rng):
@@ -58,6 +62,28 @@ def test_units_against_a_plain_version(spark, kind):
         assert (r["text"] is None) == (texts[r["doc_id"]] is None)
 
 
+@pytest.mark.parametrize("kind", ["line", "sentence", "paragraph"])
+def test_units_with_other_blanks_or_capitals_are_repeats(spark, kind):
+    unit = "this unit of words repeats here."
+    texts = [unit, unit.replace(" ", "  "), "\t" + unit.replace(" ", "\t"), unit.replace(" ", " \r") + "\r", unit.upper()]
+    if kind == "paragraph":
+        texts += [unit.replace(" of ", "\n    of "), unit.replace(" of ", "\r\nof ")]
+    rows = [(i, t, *[None] * 6) for i, t in enumerate([*texts, unit.replace("units", "others") + "s", "other " + unit])]
+    got = {r["doc_id"]: [x["kept_in"] for x in r["removed"]] for r in drop_repeated_units(frame(spark, rows), kind=kind).collect()}
+    assert got == {i: [0] if 0 < i < len(texts) else [] for i in range(len(rows))}
+
+
+def test_the_second_hash_is_independent_of_the_first(monkeypatch):
+    found = units_of([b"a b", b"A  b", b"b a", b"ab", b"a b c", b"c"], "line", 1)
+    assert found.hash_2[0] == found.hash_2[1] and len(set(found.hash_2.tolist())) == 5
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 2**63, 5_000).astype(np.uint64)
+    first = np.arange(0, 4_000, 7)
+    whole = placed(values, first, first + 900)
+    monkeypatch.setattr(llm_words, "_STEP", 1_000)
+    assert (placed(values, first, first + 900) == whole).all()
+
+
 @pytest.mark.parametrize("drop", [drop_repeated_units, drop_repeated_chunks])
 def test_repeated_rows_null_ids_and_empty_tables(spark, drop):
     text = "\n".join(f"this is line {i} of the text" for i in range(40))
