@@ -67,7 +67,7 @@ def features(letters: Letters, which: np.ndarray) -> Iterator[tuple[np.ndarray,
 def word_scores(model: Model, letters: Letters) -> np.ndarray:
     """The log-odds of each word: its best feature's, 0 if none is known.
 
-    A word that repeats one of the two before it tells nothing new and scores 0.
+    A word that repeats one of the two before it in its text tells nothing new and scores 0.
     """
     words = letters.words()
     _, first, place = np.unique(words, return_index=True, return_inverse=True)
@@ -79,7 +79,7 @@ def word_scores(model: Model, letters: Letters) -> np.ndarray:
             best[which[known]] = np.maximum(best[which[known]], model.scores[at[known]])
     scores = best[first][place]
     for back in (1, 2):
-        scores[back:][words[back:] == words[:-back]] = 0
+        scores[back:][(words[back:] == words[:-back]) & (letters.doc[back:] == letters.doc[:-back])] = 0
     return scores
 
 

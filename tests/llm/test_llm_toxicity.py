@@ -83,6 +83,22 @@ def test_a_short_passage_in_a_very_long_text_and_odd_texts(spark, model):
     assert len(none) == 1 and none.pop() < 0.5
 
 
+def test_scores_depend_on_neither_copies_nor_order_of_rows(spark, model):
+    rng = random.Random(4)
+    texts = ["vilk", "grob vilk", "vilk grob", "snarl mork vilk", "vilk", "", "mork " + " ".join(words(rng, 30)) + " vilk"]
+    rows = [(i, texts[i % len(texts)] if i % 50 else None, *[None] * 6) for i in range(300)]
+    rows += [(300 + i, "vilk grob", *[None] * 6) for i in range(100)]  # side by side
+    found = []
+    for some, parts in ((rows, 1), (rows[::-1], 1), (rng.sample(rows, len(rows)), 3)):
+        found.append({r["doc_id"]: (r["score"], r["passages"]) for r in toxicity.score(frame(spark, some, parts=parts), model).collect()})
+    assert found[0] == found[1] == found[2]
+    by_text = {}
+    for i, text, *_ in rows:
+        by_text.setdefault(text or "", set()).add(found[0][i][0])
+    assert all(len(s) == 1 for s in by_text.values())
+    assert by_text["vilk grob"] != by_text[""]
+
+
 def test_without_rows_or_labels(spark, model):
     assert toxicity.score(frame(spark, []), model).count() == 0
     none = toxicity.fit(frame(spark, documents()), spark.createDataFrame([], "doc_id bigint, quality int, toxic int"))
