@@ -1,10 +1,11 @@
-"""Removing repeated chunks of lines whose boundaries depend on the lines alone.
-
-A rolling hash over the hashes of the last few lines ends a chunk where it is
-divisible by the mean chunk length, so text inserted before a chunk doesn't move
-its boundaries. Chunks of several lines with equal digests are brought together
-over the whole table; an occurrence is removed only if its bytes equal those of
-the earliest one.
+"""Removing stretches of lines that an earlier document, or the same one earlier, already has.
+
+Every run of ``least_lines`` lines is a chunk: one begins at each line, so text
+inserted anywhere moves no boundary, and what two texts share needs no boundary
+at the same place by chance. Digests of the chunks are brought together over the
+whole table. Chunks that overlap and are found in a row in the same place join
+to stretches, as long as the lines go on alike in both directions; a stretch is
+removed only if its bytes equal those of the earlier one.
 """
 
 from __future__ import annotations
@@ -18,31 +19,28 @@ from pyspark.sql import functions as F
 
 from kimberlite.llm.repeats import Parts, cut, later_ones, occurrences, ranked
 from kimberlite.llm.staged import broadcast_if_few, result
-from kimberlite.llm.words import EXACT, NO_LINE_END, blocks, grams, placed, stretches, words_of
+from kimberlite.llm.words import EXACT, NO_LINE_END, blocks, placed, stretches, words_of
 from kimberlite.sources.scratch import stage
 
 
-def chunks(texts: list[bytes], mean_lines: int, window: int, least_lines: int) -> Parts:
+def chunks(texts: list[bytes], n_lines: int) -> Parts:
+    """Every run of ``n_lines`` lines, numbered by its first line; a shorter text is one run as a whole."""
     lines = words_of(texts, NO_LINE_END, exact=True)
-    n = len(lines.start)
-    if not n:
+    if not len(lines.start):
         return Parts.none()
-    ends = np.zeros(n, bool)
-    rolling = grams(lines.hash, window)
-    whole = lines.doc[: len(rolling)] == lines.doc[window - 1 :] if len(rolling) else np.empty(0, bool)
-    ends[window - 1 :] = whole & (rolling % np.uint64(mean_lines) == 0)
-    ends[:-1] |= np.diff(lines.doc) > 0
-    ends[-1] = True
-    beyond = np.flatnonzero(ends) + 1
-    first = np.r_[0, beyond[:-1]]
-    doc = lines.doc[first]
+    beyond_doc = lines.first[lines.doc + 1]
+    beyond = np.minimum(np.arange(len(lines.start)) + n_lines, beyond_doc)
+    begins = lines.first[lines.doc]
+    # A text without room for a run of its own has one that begins at its first line.
+    first = np.flatnonzero((beyond - np.arange(len(beyond)) == n_lines) | (begins == np.arange(len(beyond))))
+    beyond, doc = beyond[first], lines.doc[first]
     return Parts(
         doc,
         lines.start[first] - lines.base[doc],
         lines.end[beyond - 1] - lines.base[doc],
         stretches(lines.hash, first, beyond),
         placed(lines.data, lines.start[first], lines.end[beyond - 1], EXACT),
-        beyond - first >= least_lines,
+        np.ones(len(first), bool),
     )
 
 
@@ -50,66 +48,119 @@ def drop_repeated_chunks(
     docs: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
-    mean_lines: int = 3,
-    window: int = 2,
     least_lines: int = 2,
 ) -> DataFrame:
     """``(id, text, n_parts, removed)`` for every row of ``docs``.
 
-    ``text`` is what is left; ``removed`` lists the chunks taken out, with their
-    UTF-8 byte range in the original and the id of the document that keeps the
-    chunk. Chunks of fewer than ``least_lines`` lines stay. Empty lines don't
-    count as lines.
-
-    Null texts stay null; empty ones have no chunks. Of documents with equal
-    chunks, the smallest id keeps them, a null id last; rows equal in id and text
+    ``text`` is what is left, ``n_parts`` the number of lines; ``removed`` lists
+    the stretches taken out, with their UTF-8 byte range in the original and the
+    id of the document that has them earlier. If lines of those were removed
+    there in turn, that document's ``removed`` names the one before. Every run of
+    at least ``least_lines`` lines that stands earlier is found, whatever is
+    around it; of texts with fewer lines, whole copies are. Lines that repeat
+    alone, and passages that begin or end within a line, stay. Empty lines don't
+    count as lines, but a run with others between is another run.
+
+    Null texts stay null; empty ones have no lines. Of documents with equal
+    runs, the smallest id keeps them, a null id last; rows equal in id and text
     are one document and get the same result, rows that share an id only are
     ranked by the hash of their text. Texts of any length are worked on whole.
     Other columns are not read. An empty table gives an empty result.
     """
+    if least_lines < 1:
+        raise ValueError("least_lines must be at least 1")
 
     def split(texts: list[bytes]) -> Parts:
-        return chunks(texts, mean_lines, window, least_lines)
+        return chunks(texts, least_lines)
+
+    def lines(texts: list[bytes]) -> Parts:
+        return chunks(texts, 1)
 
     def make() -> DataFrame:
         texts = ranked(docs, id_column, text_column)
         found = stage(occurrences(texts, split), "chunks")
-        later = stage(later_ones(found), "later")
-        return cut(texts, _same_bytes(texts, later, split), split).withColumnRenamed("id", id_column)
+        joined = stage(_stretches(later_ones(found), least_lines), "stretches")
+        return cut(texts, _same_bytes(texts, joined, lines), lines).withColumnRenamed("id", id_column)
 
     return result(docs.sparkSession, make)
 
 
-def _same_bytes(texts: DataFrame, later: DataFrame, split) -> DataFrame:
-    """The ``later`` chunks whose bytes are those of the first."""
-    places = later.select("rank", "hash", "part").unionByName(later.select("first.*")).distinct()
-    wanted = places.groupBy("rank", "hash").agg(F.collect_list("part").alias("parts"))
+def _stretches(later: DataFrame, least_lines: int) -> DataFrame:
+    """Chunks in a row whose first ones are in a row: ``(rank, hash, part, n, f_rank, f_hash, f_part)``, in lines."""
+    found = later.groupBy("rank", "hash").agg(
+        F.collect_list(F.struct("part", F.col("first.rank"), F.col("first.hash"), F.col("first.part").alias("at"))).alias("found")
+    )
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rank, hash, found in zip(batch.column("rank"), batch.column("hash"), batch.column("found")):
+                part, f_rank, f_hash, f_part = (x.to_numpy() for x in found.values.flatten())
+                order = np.argsort(part)
+                part, f_rank, f_hash, f_part = part[order], f_rank[order], f_hash[order], f_part[order]
+                new = np.ones(len(part), bool)
+                new[1:] = (np.diff(part) != 1) | (np.diff(f_part) != 1) | (f_rank[1:] != f_rank[:-1]) | (f_hash[1:] != f_hash[:-1])
+                first = np.flatnonzero(new)
+                n = np.diff(np.r_[first, len(part)]) + least_lines - 1
+                some = len(first)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([rank.as_py()] * some, pa.int64()),
+                        pa.array([hash.as_py()] * some, pa.int64()),
+                        pa.array(part[first].astype(np.int32)),
+                        pa.array(n.astype(np.int32)),
+                        pa.array(f_rank[first]),
+                        pa.array(f_hash[first]),
+                        pa.array(f_part[first].astype(np.int32)),
+                    ],
+                    names=["rank", "hash", "part", "n", "f_rank", "f_hash", "f_part"],
+                )
+
+    return found.mapInArrow(rows, "rank bigint, hash bigint, part int, n int, f_rank bigint, f_hash bigint, f_part int")
+
+
+def _same_bytes(texts: DataFrame, joined: DataFrame, lines) -> DataFrame:
+    """The stretches whose bytes are those of the earlier ones, without lines that the earlier one has in the same text."""
+    firsts = joined.select(F.col("f_rank").alias("rank"), F.col("f_hash").alias("hash"), F.col("f_part").alias("part"), "n")
+    places = joined.select("rank", "hash", "part", "n").unionByName(firsts).distinct()
+    wanted = places.groupBy("rank", "hash").agg(F.collect_list(F.struct("part", "n")).alias("parts"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begun, some in blocks(batch.column("text")):
-                made = split(some)
+                made = lines(some)
                 counts = np.bincount(made.doc, minlength=len(some))
                 first = np.cumsum(counts) - counts
                 asked = batch.column("parts").slice(begun, len(some)).to_pylist()
                 doc = np.repeat(np.arange(len(some)), [len(a) for a in asked])
-                part = np.array([p for a in asked for p in a], np.int64)
-                at = first[doc] + part
-                held = [some[d][made.begin[i] : made.end[i]] for d, i in zip(doc, at)]
+                part = np.array([p["part"] for a in asked for p in a], np.int64)
+                n = np.array([p["n"] for a in asked for p in a], np.int64)
+                # A text of fewer lines than a chunk ends before it.
+                last = np.minimum(part + n, counts[doc]) - 1
+                held = [some[d][made.begin[first[d] + p] : made.end[first[d] + q]] for d, p, q in zip(doc, part, last)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("rank").slice(begun, len(some)).take(pa.array(doc)),
                         batch.column("hash").slice(begun, len(some)).take(pa.array(doc)),
                         pa.array(part.astype(np.int32)),
-                        pa.array(held, pa.binary()),
+                        pa.array(n.astype(np.int32)),
+                        pa.array((last + 1 - part).astype(np.int32)),
+                        pa.array(held, pa.large_binary()).cast(pa.binary()),
                     ],
-                    names=["rank", "hash", "part", "held"],
+                    names=["rank", "hash", "part", "n", "n_lines", "held"],
                 )
 
     keys = broadcast_if_few(stage(wanted.select("rank", "hash"), "wanted"))
     asked = texts.select("rank", "hash", "text").join(keys, ["rank", "hash"], "left_semi")
     asked = asked.join(wanted, ["rank", "hash"]).dropDuplicates(["rank", "hash"])
-    held = stage(asked.mapInArrow(rows, "rank bigint, hash bigint, part int, held binary"), "held")
-    first = held.select(F.struct("rank", "hash", "part").alias("first"), F.col("held").alias("first_held"))
-    compared = later.join(held, ["rank", "hash", "part"]).join(first, "first")
-    return compared.filter("held = first_held").select("rank", "hash", "part", "first")
+    out = "rank bigint, hash bigint, part int, n int, n_lines int, held binary"
+    held = stage(asked.mapInArrow(rows, out), "held")
+    place = ["rank", "hash", "part", "n"]
+    earlier = held.select(*[F.col(c).alias(f"f_{c}") for c in place[:3]], "n", F.col("held").alias("f_held"))
+    compared = joined.join(held, place).join(earlier, ["f_rank", "f_hash", "f_part", "n"]).filter("held = f_held")
+    # What overlaps its own repeat ("a a a") leaves the lines of the first.
+    own = (F.col("rank") == F.col("f_rank")) & (F.col("hash") == F.col("f_hash"))
+    begin = F.when(own, F.greatest("part", F.col("f_part") + F.col("n_lines"))).otherwise(F.col("part"))
+    beyond = F.col("part") + F.col("n_lines")
+    return compared.select(
+        "rank", "hash", begin.alias("part"), (beyond - 1).alias("last"), F.struct(F.col("f_rank").alias("rank")).alias("first")
+    ).filter("part <= last")

@@ -98,10 +98,13 @@ def cut(texts: DataFrame, later: DataFrame, split: Splitter) -> DataFrame:
 
     ``removed`` has each removed part's UTF-8 byte range in the original text and
     the id of the document that keeps it. Blanks after a removed part go too.
+    With a column ``last``, a row of ``later`` stands for the parts up to that;
+    of rows that overlap, each loses what is in one before it.
     """
+    last = F.col("last") if "last" in later.columns else F.col("part").alias("last")
     gone = (
         later.groupBy("rank", "hash")
-        .agg(F.collect_list(F.struct("part", F.col("first.rank").alias("kept_in"))).alias("gone"))
+        .agg(F.collect_list(F.struct("part", last, F.col("first.rank").alias("kept_in"))).alias("gone"))
         .withColumnsRenamed({"rank": "g_rank", "hash": "g_hash"})
     )
     joined = texts.join(gone, (F.col("rank") == F.col("g_rank")) & (F.col("hash") == F.col("g_hash")), "left")
@@ -116,11 +119,15 @@ def cut(texts: DataFrame, later: DataFrame, split: Splitter) -> DataFrame:
                 there = batch.column("text").slice(begun, len(some)).is_valid()
                 left, removed = [], []
                 for i, gone in enumerate(batch.column("gone").slice(begun, len(some))):
-                    spans = []
-                    for g in sorted(gone.as_py() or [], key=lambda g: g["part"]):
-                        at = first[i] + g["part"]
+                    spans, beyond = [], 0
+                    for g in sorted(gone.as_py() or [], key=lambda g: (g["part"], -g["last"])):
+                        begin = max(g["part"], beyond)
+                        beyond = max(beyond, g["last"] + 1)
+                        if begin > g["last"]:
+                            continue
+                        at, end = first[i] + begin, first[i] + g["last"]
                         kept_in = None if g["kept_in"] == _LAST else g["kept_in"]
-                        spans.append({"begin": int(parts.begin[at]), "end": int(parts.end[at]), "kept_in": kept_in})
+                        spans.append({"begin": int(parts.begin[at]), "end": int(parts.end[end]), "kept_in": kept_in})
                     left.append(_without(some[i], spans))
                     removed.append(spans)
                 texts = pa.array([t.decode("utf-8", "replace") for t in left], pa.string())

@@ -112,3 +112,27 @@ def test_chunks_are_found_behind_inserted_lines_and_compared_by_bytes(spark):
         for x in found[i]["removed"]:
             piece = raw[x["begin"] : x["end"]]
             assert piece in texts[x["kept_in"]].encode() and b"\n" in piece
+
+
+def test_every_shared_run_of_lines_is_found(spark):
+    rng = random.Random(12)
+
+    def lines(n):
+        return [prose(rng, 8, 10**6) for _ in range(n)]
+
+    rows, planted = [], {}
+    for i in range(60):
+        shared = lines(2 + i % 3)
+        for j in (0, 1):
+            before, after = lines(rng.randrange(4)), lines(rng.randrange(4))
+            rows.append((2 * i + j, "\n".join(before + shared + after), *[None] * 6))
+        planted[2 * i + 1] = "\n".join(shared)
+    rows += [(200 + i, "a single line of text", *[None] * 6) for i in range(3)]
+    rows += [(300, "\n".join(["again"] * 5), *[None] * 6), (301, "other\nagain\nanother", *[None] * 6)]
+    texts = {r[0]: r[1] for r in rows}
+    found = {r["doc_id"]: r for r in drop_repeated_chunks(frame(spark, rows)).collect()}
+    for i, text in texts.items():
+        gone = [(text.encode()[x["begin"] : x["end"]].decode(), x["kept_in"]) for x in found[i]["removed"]]
+        want = [(planted[i], i - 1)] if i in planted else [(text, 200)] if 200 < i < 203 else []
+        assert gone == ([("again\nagain", 300), ("again", 300)] if i == 300 else want)
+    assert found[300]["text"].split() == ["again"] * 2 and found[300]["n_parts"] == 5
