@@ -3,9 +3,11 @@
 A source with a target of f times its size gets floor(f) whole copies of each
 document, which are certain, and a sample for the rest. Documents are ranked by
 their random odds u / (1 - u) divided by the odds p / (1 - p) of their inclusion
-probability, and the ranking is followed until the words wanted are reached; a
-last step fills the gap that the next document would overshoot. u is a hash of
-id and text, so reruns and other partitionings choose alike.
+probability, and the ranking is followed to its end: a document is taken if it
+fits into the words still wanted. Each round takes what fits up to the first
+document that overshoots and goes on with those that are no larger than the gap,
+until none is. u is a hash of id and text, so reruns and other partitionings
+choose alike.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from kimberlite.operators.numbering import number_rows
 from kimberlite.sources.scratch import stage
 
 WEIGHTS = (5, 2, 1)
-#: Ranked documents after the last that fits, among which the gap is filled.
+#: Documents after one that overshoots that one task goes on with in a round; it saves rounds and limits nothing.
 FILL_ROWS = 1000
 _ODDS_LIMIT = 1e-6
 
@@ -134,55 +136,97 @@ def _sampled(rows: DataFrame) -> DataFrame:
         ranked.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()),
         "ranked",
     )
+    summed = _running(placed, order[1:])
+    summed = stage(summed.withColumn("fits", (F.col("wanted") > 0) & (F.col("words") <= F.col("wanted"))), "summed")
+    reached = summed.groupBy("at").agg(
+        F.coalesce(F.max(F.when(F.col("fits"), F.col("words"))), F.lit(0)).alias("reached"),
+        F.coalesce(F.max(F.when(F.col("fits"), F.col("n"))), F.lit(0)).alias("n_fit"),
+    )
+    rest = stage(
+        summed.filter((~F.col("fits")) & (F.col("wanted") > 0) & (F.col("size") > 0)).select("at", "part", "n", "size"),
+        "rest",
+    )
+    gaps = summed.groupBy("at").agg(F.max("wanted").alias("wanted")).join(reached, "at")
+    gaps = gaps.select("at", (F.col("wanted") - F.col("reached")).alias("gap"), F.col("n_fit").alias("upto"))
+    filled = _filled(rest, stage(gaps, "gaps")).withColumn("filled", F.lit(1))
+    extra = F.when(F.col("fits"), 1).otherwise(F.coalesce("filled", F.lit(0)))
+    return summed.join(filled, ["at", "n"], "left").withColumn("extra", extra)
+
+
+def _running(placed: DataFrame, order: list[str]) -> DataFrame:
+    """Add the running sum ``words`` and number ``n`` of a source's rows, in ``order`` inside ``part``, parts in turn."""
     # Words before each partition: a running sum over one row per partition and source.
-    parts = placed.groupBy("at", "part").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"))
+    parts = placed.groupBy("at", "part").agg(F.sum("size").alias("part_words"), F.count(F.lit(1)).alias("part_n"))
     earlier = Window.partitionBy("at").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = parts.select(
         F.col("at"),
         F.col("part"),
-        F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("words_before"),
-        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_before"),
+        F.coalesce(F.sum("part_words").over(earlier), F.lit(0)).alias("words_before"),
+        F.coalesce(F.sum("part_n").over(earlier), F.lit(0)).alias("n_before"),
     )
-    inside = Window.partitionBy("at", "part").orderBy(*order[1:]).rowsBetween(Window.unboundedPreceding, 0)
-    summed = placed.join(before, ["at", "part"]).withColumns(
+    inside = Window.partitionBy("at", "part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return placed.join(before, ["at", "part"]).withColumns(
         {
             "words": F.col("words_before") + F.sum("size").over(inside),
             "n": F.col("n_before") + F.count(F.lit(1)).over(inside),
         }
     )
-    summed = stage(summed.withColumn("fits", (F.col("wanted") > 0) & (F.col("words") <= F.col("wanted"))), "summed")
-    reached = summed.groupBy("at").agg(
-        F.coalesce(F.max(F.when(F.col("fits"), F.col("words"))), F.lit(0)).alias("reached"),
-        F.coalesce(F.max(F.when(F.col("fits"), F.col("n"))), F.lit(0)).alias("n_fit"),
+
+
+def _filled(rest: DataFrame, gaps: DataFrame) -> DataFrame:
+    """``(at, n)`` of the documents of ``rest`` that fill the gaps of their sources, in rank order."""
+    none = rest.select("at", "n", "size").limit(0)
+    taken, all_gaps = none, gaps.select("at", "gap")
+    while True:
+        fitting = rest.join(gaps, "at").filter("n > upto and size <= gap")
+        fitting = stage(fitting.select("at", "part", F.col("n").alias("place"), "size", "gap"), "fitting")
+        if fitting.isEmpty():
+            break
+        summed = stage(_running(fitting, ["place"]), "fitting_summed")
+        fits = F.col("words") <= F.col("gap")
+        reached = summed.groupBy("at").agg(
+            F.max(F.when(fits, F.col("words"))).alias("reached"), F.max(F.when(fits, F.col("n"))).alias("n_fit")
+        )
+        marked = summed.join(reached, "at")
+        near = marked.filter((F.col("n") > F.col("n_fit")) & (F.col("n") <= F.col("n_fit") + FILL_ROWS))
+        more = _in_turn(near.select("at", "place", "size", (F.col("gap") - F.col("reached")).alias("gap")))
+        some = stage(
+            summed.filter(fits).select("at", F.col("place").alias("n"), "size").unionByName(more), "taken"
+        )
+        taken = taken.unionByName(some)
+        looked = marked.filter(F.col("n") <= F.col("n_fit") + FILL_ROWS).groupBy("at")
+        upto = looked.agg(F.max("gap").alias("old"), F.max("place").alias("upto"))
+        sums = some.groupBy("at").agg(F.sum("size").alias("sum"))
+        gaps = stage(upto.join(sums, "at").select("at", (F.col("old") - F.col("sum")).alias("gap"), "upto"), "gaps")
+    # One more, if the words are nearer with it than without.
+    sums = taken.groupBy("at").agg(F.sum("size").alias("sum"))
+    left = rest.join(taken.select("at", "n"), ["at", "n"], "left_anti").groupBy("at")
+    least = left.agg(F.min(F.struct("size", "n")).alias("least"))
+    nearer = least.join(all_gaps, "at").join(sums, "at", "left").filter(
+        F.col("least.size") < 2 * (F.col("gap") - F.coalesce("sum", F.lit(0)))
     )
-    marked = summed.join(reached, "at")
-    near = (~F.col("fits")) & (F.col("wanted") > 0) & (F.col("n") <= F.col("n_fit") + FILL_ROWS)
-    filled = _filled(
-        marked.filter(near).select("at", "n", "size", (F.col("wanted") - F.col("reached")).alias("gap"))
-    ).withColumn("filled", F.lit(1))
-    extra = F.when(F.col("fits"), 1).otherwise(F.coalesce("filled", F.lit(0)))
-    return summed.join(filled, ["at", "n"], "left").withColumn("extra", extra)
+    return taken.select("at", "n").unionByName(nearer.select("at", "least.n"))
 
 
-def _filled(near: DataFrame) -> DataFrame:
-    """Of at most FILL_ROWS documents of a source, in rank order, those that fill its gap."""
+def _in_turn(near: DataFrame) -> DataFrame:
+    """Of at most FILL_ROWS documents of a source, in rank order, those that fit into its gap."""
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, ["at"]):
-            gap, chosen = run.column("gap")[0].as_py(), []
-            left = None
-            for n, size in zip(run.column("n").to_pylist(), run.column("size").to_pylist()):
-                if 0 < size <= gap:
-                    chosen.append(n)
+            gap, places, sizes = run.column("gap")[0].as_py(), [], []
+            for place, size in zip(run.column("place").to_pylist(), run.column("size").to_pylist()):
+                if size <= gap:
+                    places.append(place)
+                    sizes.append(size)
                     gap -= size
-                elif size and (left is None or size < left[0]):
-                    left = (size, n)
-            if left and left[0] < 2 * gap:  # nearer with it than without
-                chosen.append(left[1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([run.column("at")[0].as_py()] * len(chosen), pa.string()), pa.array(chosen, pa.int64())],
-                names=["at", "n"],
+                [
+                    pa.array([run.column("at")[0].as_py()] * len(places), pa.string()),
+                    pa.array(places, pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                ],
+                names=["at", "n", "size"],
             )
 
-    dealt = near.repartition("at").sortWithinPartitions("at", "n")
-    return dealt.mapInArrow(fill, "at string, n bigint")
+    dealt = near.repartition("at").sortWithinPartitions("at", "place")
+    return dealt.mapInArrow(fill, "at string, n bigint, size bigint")

@@ -44,6 +44,17 @@ def test_targets_sizes_and_words_taken(spark):
         assert abs(words_taken - target[source]) <= max(10, 0.02 * target[source]), source
 
 
+def test_a_document_larger_than_the_gap_does_not_end_the_filling(spark):
+    # The long one ranks first by its preference and never fits; more than 1000 of the others must fill the gap.
+    rows = [(i, "ten words " * 5 if i % 2 else "three words here", "en", "a", 1, None, 1, None) for i in range(6000)]
+    rows += [(9000, "long " * 40_000, "en", "a", 1, None, 10**9, None), (9001, "word " * 41_000, "en", "b", 1, None, 1, None)]
+    found = mix(frame(spark, rows), weights=(1, 4), preference_column="kept").collect()
+    target = {r["source"]: r["target"] for r in found}["a"]
+    taken = sum(r["copies"] * r["size"] for r in found if r["source"] == "a")
+    assert 20_000 < target < 39_000 and abs(taken - target) <= 1.5
+    assert not [r for r in found if r["doc_id"] == 9000 and r["copies"]]
+
+
 def test_reruns_and_partitionings_agree(spark):
     rows = documents(n=100)
     one, two = (
