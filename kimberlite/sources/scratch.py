@@ -38,7 +38,22 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     paths = getattr(_opened, "paths", None)
     if paths is not None:
         paths.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete a table that ``stage`` returned, once all that is made of it has been written."""
+    _delete(staged.sparkSession, staged._staged_at)
+    paths = getattr(_opened, "paths", None)
+    if paths is not None:
+        paths.remove(staged._staged_at)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 @contextmanager
@@ -49,8 +64,5 @@ def staging(spark: SparkSession):
         yield
     finally:
         paths, _opened.paths = _opened.paths, None
-        jvm = spark._jvm
-        conf = spark._jsc.hadoopConfiguration()
         for path in paths:
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(conf).delete(target, True)
+            _delete(spark, path)
