@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kimberlite.catalog.registry import table
 from kimberlite.llm import language, language_model, sql, toxicity
+from kimberlite.llm.centroids import centroid_clusters
 from kimberlite.llm.chunk_dedup import drop_repeated_chunks
 from kimberlite.llm.decontaminate import contamination
 from kimberlite.llm.mixing import mix
@@ -141,3 +142,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         "perplexity",
     )
+
+
+@query("op11_centroid_clusters", sql.CLUSTERS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroid_clusters(table(spark, sf_dir, "embeddings"), k=40, rounds=5, size=64, scale=256)
+    components = F.array_join(F.transform("centroid", lambda x: x.cast("string")), ",")
+    return found.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(components, 256).alias("centroid_sha256")
+    )

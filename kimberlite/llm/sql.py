@@ -59,3 +59,38 @@ NEAR_VECTORS = f"""
     SELECT vec_id, ifnull(n, 0) AS n_links, least(vec_id, ifnull(y, vec_id)) AS component_id,
            vec_id <= ifnull(y, vec_id) AS kept
     FROM v LEFT JOIN least_one ON least_one.x = vec_id LEFT JOIN degree ON degree.x = vec_id"""
+
+
+def _clusters(rounds: int) -> str:
+    """Each assignment and update written out."""
+    steps = []
+    for t in range(rounds + 1):
+        steps.append(f"""
+      a{t} AS (SELECT n, any_value(v.e) AS e, min({{'d': list_inner_product(v.e, v.e)
+                 - 2 * list_inner_product(v.e, c{t}.e) + list_inner_product(c{t}.e, c{t}.e), 'c': c}}) AS best
+               FROM v, c{t} GROUP BY n)""")
+        if t < rounds:
+            steps.append(f"""
+      s{t} AS (SELECT c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS m
+               FROM (SELECT best.c AS c, unnest(e) AS x, unnest(range(64)) AS i FROM a{t}) GROUP BY c, i),
+      c{t + 1} AS (SELECT c, ifnull(means.e, c{t}.e) AS e
+                   FROM c{t} LEFT JOIN (
+                     SELECT c, list(CAST((s - ((s % m) + m) % m) // m AS DOUBLE) ORDER BY i) AS e
+                     FROM s{t} GROUP BY c) AS means USING (c))""")
+    return ",".join(steps)
+
+
+_WHOLE = "[floor(256 * CAST(x AS DOUBLE)) for x in embedding]"
+_FINITE = "embedding IS NOT NULL AND len([x for x in embedding if isfinite(x)]) = len(embedding)"
+
+CLUSTERS = f"""
+    WITH v AS (SELECT vec_id, row_number() OVER () AS n, {_WHOLE} AS e
+               FROM embeddings WHERE len(embedding) = 64 AND {_FINITE}),
+      c0 AS (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), e) - 1 AS c, e FROM v QUALIFY c < 40),
+      {_clusters(5)},
+      total AS (SELECT best.c AS c, sum(best.d) AS d FROM a5 GROUP BY 1)
+    SELECT vec_id, CAST(best.c AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS distance,
+           CAST(total.d AS BIGINT) AS cluster_inertia,
+           CAST((SELECT sum(d) FROM total) AS BIGINT) AS inertia,
+           sha256(array_to_string(CAST(c5.e AS BIGINT[]), ',')) AS centroid_sha256
+    FROM a5 JOIN v USING (n) JOIN total ON total.c = best.c JOIN c5 ON c5.c = best.c"""
