@@ -12,7 +12,9 @@ from kimberlite.catalog.registry import table
 from kimberlite.llm import language, language_model, sql, toxicity
 from kimberlite.llm.centroids import centroid_clusters
 from kimberlite.llm.chunk_dedup import drop_repeated_chunks
+from kimberlite.llm.credentials import credentials
 from kimberlite.llm.decontaminate import contamination
+from kimberlite.llm.hard_negatives import hard_negatives
 from kimberlite.llm.mixing import mix
 from kimberlite.llm.near_dups import near_duplicates
 from kimberlite.llm.shipping import ship
@@ -151,3 +153,28 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(components, 256).alias("centroid_sha256")
     )
+
+
+@query("op12_hard_negatives", sql.HARD_NEGATIVES)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=5, least_percent=80, scale=256)
+
+
+@query("op13_credentials", sql.CREDENTIALS)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = credentials(table(spark, sf_dir, "documents"), reach=200)
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        *map(count, ("assign", "access", "hex")),
+        F.sha2(joined(F.filter("spans", lambda s: ~s["weak"])), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )

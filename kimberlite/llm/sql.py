@@ -94,3 +94,89 @@ CLUSTERS = f"""
            CAST((SELECT sum(d) FROM total) AS BIGINT) AS inertia,
            sha256(array_to_string(CAST(c5.e AS BIGINT[]), ',')) AS centroid_sha256
     FROM a5 JOIN v USING (n) JOIN total ON total.c = best.c JOIN c5 ON c5.c = best.c"""
+
+HARD_NEGATIVES = f"""
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_WHOLE} AS e
+               FROM embeddings WHERE label IS NOT NULL AND {_FINITE}),
+      score AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                       CAST(list_inner_product(a.e, b.e) AS BIGINT) AS s
+                FROM v AS a JOIN v AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+      positive AS (SELECT anchor_id, other_id AS positive_id, s AS positive_score FROM score WHERE same
+                   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, other_id) <= 5)
+    SELECT anchor_id, positive_id,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s DESC, other_id) AS INTEGER) AS rank,
+           other_id AS negative_id, positive_score, s AS negative_score
+    FROM positive JOIN score USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * s AND 100 * s <= 100 * positive_score
+    QUALIFY rank <= 5"""
+
+_TO_VALUE = """["'']?\\x20*[:=]\\x20*["'']?"""
+
+
+def _any_case(*names: str) -> str:
+    """The names in either case of A-Z, which (?i) would widen to other letters."""
+    return "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in n) for n in names)
+
+
+_NAMES = _any_case("password", "passwd", "secret", "token", "api_?key")
+_ACCOUNTS = _any_case("access_?key_?id", "client_?id", "account", "username", "user", "login")
+_SECRET_KINDS = [
+    # kind, pattern, least length of the value, number of the group that is the value
+    ("assign", f"({_NAMES}){_TO_VALUE}([A-Za-z0-9+/_.=-]+)", 8, 2),
+    ("access", "AKIA[A-Z0-9]+", 16, 0),
+    ("hex", "[0-9a-f]+", 32, 0),
+    ("account", f"({_ACCOUNTS}){_TO_VALUE}([A-Za-z0-9@._+-]{{3,}})", 0, 2),
+    ("key", "[A-Za-z0-9+/_=-]{20,}", 0, 0),
+    ("endpoint", """(https?|ftp|s3|postgres|postgresql|mysql|mongodb|redis|amqp)://[^\\x00-\\x20"''<>\\x7F]+""", 0, 0),
+]
+
+
+def _spans() -> str:
+    """Matches of each kind with offsets, from the pieces between them."""
+    return " UNION ALL ".join(
+        f"""
+        SELECT doc_id, {order} AS kind, begin AS start, begin + length(found) AS stop, found
+        FROM (SELECT doc_id, unnest(found) AS found, unnest(value) AS value,
+                     unnest([CAST(list_sum([length(p) for p in pieces[:i]])
+                                  + ifnull(list_sum([length(f) for f in found[:i - 1]]), 0) AS BIGINT)
+                             for i in range(1, len(found) + 1)]) AS begin
+              FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS found,
+                           regexp_extract_all(text, '{pattern}', {group}) AS value,
+                           string_split_regex(text, '{pattern}') AS pieces FROM documents))
+        WHERE length(value) >= {least}"""
+        for order, (_, pattern, least, group) in enumerate(_SECRET_KINDS)
+    )
+
+
+_KIND_NAMES = "[" + ", ".join(f"'{k}'" for k, *_ in _SECRET_KINDS) + "]"
+
+
+def _joined(where: str = "true") -> str:
+    return f"ifnull(string_agg({_KIND_NAMES}[kind + 1] || ':' || start || ':' || stop, ',' ORDER BY start, kind) FILTER ({where}), '')"
+
+
+def _near(role: str) -> str:
+    """Whether a part of these kinds is at most 200 code points away, without a blank line between."""
+    return f"""EXISTS (SELECT 1 FROM part AS o WHERE o.doc_id = w.doc_id AND o.kind IN ({role})
+                AND w.start < o.stop + 200 AND w.stop > o.start - 200
+                AND NOT regexp_matches(substring(w.text, least(w.stop, o.stop) + 1,
+                                       greatest(greatest(w.start, o.start) - least(w.stop, o.stop), 0)),
+                                       '\\n[\\x20\\t\\r]*\\n'))"""
+
+
+CREDENTIALS = f"""
+    WITH span AS ({_spans()}),
+      part AS (
+        SELECT doc_id, kind, start, stop FROM span AS s
+        WHERE kind < 3 OR (
+          (kind <> 4 OR (regexp_matches(found, '[0-9]') AND regexp_matches(found, '[a-z]') AND regexp_matches(found, '[A-Z]')))
+          AND NOT EXISTS (SELECT 1 FROM span AS b WHERE b.doc_id = s.doc_id AND b.kind < 3
+                          AND b.start < s.stop AND b.stop > s.start))),
+      w AS (SELECT part.*, text FROM part JOIN documents USING (doc_id)),
+      told AS (
+        SELECT doc_id, kind, start, stop FROM w
+        WHERE kind < 3
+           OR ((kind = 4 OR {_near("0, 2, 4")}) AND (kind = 3 OR {_near("1, 3")})))
+    SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+           count(*) FILTER (kind = 2) AS n_hex, sha256({_joined("kind < 3")}) AS base_sha256, {_joined()} AS spans
+    FROM documents LEFT JOIN told USING (doc_id) GROUP BY doc_id"""
