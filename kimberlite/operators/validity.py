@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of up to BASE**k seconds lie in buckets of that length, two at most.
-BASE = 16
-_OPEN = -1
+_ENTRY = ["_h_start", "_h_end"]
 
 
 def valid_at(
@@ -24,17 +22,52 @@ def valid_at(
 ) -> DataFrame:
     """Left join ``rows`` to every history entry whose closed interval holds ``at``.
 
-    ``end`` NULL means open. Entries lie in buckets of time about as long as they
-    are, so the different points in time of a key meet, for each bucket length
-    that the key has, only entries of one bucket: those that hold the point and
-    at most some BASE neighbours for each entry that overlaps them. Open entries
-    of a key are one bucket. Rows then take what their key and time has found, an
-    equi-join. The plan is the same for short and long histories.
+    ``end`` NULL means open. The different points in time of a key meet entries
+    by the nodes of a binary tree of time (``meetings``); rows then take what
+    their key and time has found, an equi-join. The plan is the same for short,
+    long, overlapping and open entries.
+    """
+    met = meetings(rows, history, key, at, start, end, columns, history_key)
+    # Times within the first or last second of an entry.
+    holds = (F.col("_at") >= F.col("_h_start")) & (F.col("_h_end").isNull() | (F.col("_at") <= F.col("_h_end")))
+    found = met.filter(holds).select("_key", "_at", *columns)
+    same = (F.col(key) == F.col("_key")) & (F.col(at) == F.col("_at"))
+    return rows.join(found, same, "left").select(*rows.columns, *columns)
+
+
+def meetings(
+    rows: DataFrame,
+    history: DataFrame,
+    key: str,
+    at: str,
+    start: str,
+    end: str,
+    columns: Sequence[str],
+    history_key: str | None = None,
+) -> DataFrame:
+    """``(_key, _at, _h_start, _h_end, *columns)``: each key and time with each entry that holds its second.
+
+    An entry is cut to the times between the first and the last point of its key,
+    so that an open one ends there too, and then into at most two nodes of each
+    length 1, 2, 4, ... seconds (days, if all times are dates), which together
+    are exactly its seconds. A point lies in one node of each length, and meets an
+    entry in one node if the entry holds it and in none if not. Points go only to
+    the lengths that the entries of their key have.
     """
     kinds = [dict(rows.dtypes)[at], *(dict(history.dtypes)[c] for c in (start, end))]
-    seconds = _instant if "timestamp" in kinds else _wall_clock
-    first, last = seconds(F.col("_h_start")), seconds(F.col("_h_end"))
-    level = F.when(F.col("_h_end").isNull(), _OPEN).otherwise(F.ceil(F.log(float(BASE), last - first + 1)))
+    if set(kinds) == {"date"}:
+        unit = _days
+    else:
+        unit = _instant if "timestamp" in kinds else _wall_clock
+    points = (
+        rows.select(F.col(key).alias("_key"), F.col(at).alias("_at"))
+        .filter("_key is not null and _at is not null")
+        .distinct()
+        .withColumn("_time", unit(F.col("_at")))
+    )
+    needed = points.groupBy(F.col("_key").alias("_h_key")).agg(
+        F.min("_time").alias("_earliest"), F.max("_time").alias("_latest")
+    )
     entries = (
         history.select(
             F.col(history_key or key).alias("_h_key"),
@@ -43,43 +76,51 @@ def valid_at(
             *columns,
         )
         .filter("_h_key is not null and _h_start is not null and (_h_end is null or _h_start <= _h_end)")
-        .withColumn("_h_level", level.cast("int"))
+        .join(needed, "_h_key")
+        .withColumn("_from", F.greatest(unit(F.col("_h_start")), "_earliest"))
+        .withColumn("_to", F.least(F.coalesce(unit(F.col("_h_end")), "_latest"), "_latest"))
+        .filter("_from <= _to")
     )
-    buckets = F.sequence(_bucket(first, "_h_level"), F.coalesce(_bucket(last, "_h_level"), F.lit(0).cast("bigint")))
-    lying = entries.withColumn("_h_bucket", F.explode(buckets))
-    lengths = entries.groupBy(F.col("_h_key").alias("_key")).agg(F.collect_set("_h_level").alias("_levels"))
-    points = (
-        rows.select(F.col(key).alias("_key"), F.col(at).alias("_at"))
-        .filter("_key is not null and _at is not null")
-        .distinct()
-        .join(lengths, "_key")
+    lying = entries.select(F.col("_h_key"), *_ENTRY, *columns, F.explode(_nodes("_from", "_to")).alias("_n"))
+    lying = lying.select("_h_key", *_ENTRY, *columns, "_n.level", "_n.node")
+    lengths = lying.groupBy(F.col("_h_key").alias("_key")).agg(F.collect_set("level").alias("_levels"))
+    placed = (
+        points.join(lengths, "_key")
         .withColumn("_level", F.explode("_levels"))
-        .withColumn("_bucket", _bucket(seconds(F.col("_at")), "_level"))
+        .withColumn("_node", F.expr("shiftright(_time, _level)"))
     )
-    near = (
-        (F.col("_key") == F.col("_h_key"))
-        & (F.col("_level") == F.col("_h_level"))
-        & (F.col("_bucket") == F.col("_h_bucket"))
+    same = (
+        (F.col("_key") == F.col("_h_key")) & (F.col("_level") == F.col("level")) & (F.col("_node") == F.col("node"))
     )
-    holds = (F.col("_at") >= F.col("_h_start")) & (
-        F.col("_h_end").isNull() | (F.col("_at") <= F.col("_h_end"))
+    return placed.join(lying, same).select("_key", "_at", *_ENTRY, *columns)
+
+
+def _nodes(first: str, last: str) -> Column:
+    """The nodes that make up the units from ``first`` to ``last``, both included.
+
+    Nodes of ``2**level`` units are numbered from the left. At each level, what is
+    left to cover runs from ``lo``, the rounded-up number of the first node, to
+    before ``hi``, the rounded-down number of the node behind the last; an odd
+    ``lo`` and the one before an odd ``hi`` are no half of a larger node inside.
+    """
+    lo = f"(-shiftright(-{first}, level))"
+    hi = f"shiftright({last} + 1, level)"
+    top = f"cast(ceil(log2({last} - {first} + 1)) as int)"
+    return F.expr(
+        f"""filter(flatten(transform(sequence(0, {top}), level -> array(
+              if({lo} < {hi} and {lo} & 1 = 1, struct(level, {lo} as node), null),
+              if({lo} < {hi} and {hi} & 1 = 1, struct(level, {hi} - 1 as node), null)))), n -> n is not null)"""
     )
-    found = points.join(lying, near & holds).select("_key", "_at", *columns)
-    same = (F.col(key) == F.col("_key")) & (F.col(at) == F.col("_at"))
-    return rows.join(found, same, "left").select(*rows.columns, *columns)
 
 
-def _bucket(seconds: Column, level: str) -> Column:
-    """Number of the time's bucket; all times are in bucket 0 of open entries."""
-    length = F.pow(F.lit(float(BASE)), F.col(level))
-    return F.when(F.col(level) == _OPEN, F.lit(0)).otherwise(F.floor(seconds / length)).cast("bigint")
+def _days(date: Column) -> Column:
+    return F.datediff(date, F.lit("1970-01-01").cast("date")).cast("bigint")
 
 
 def _wall_clock(time: Column) -> Column:
     """Whole seconds of a date or a time without zone, growing with it."""
     time = time.cast("timestamp_ntz")
-    days = F.datediff(time.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
-    return days * 86400 + F.hour(time) * 3600 + F.minute(time) * 60 + F.floor(F.second(time))
+    return _days(time.cast("date")) * 86400 + F.hour(time) * 3600 + F.minute(time) * 60 + F.floor(F.second(time))
 
 
 def _instant(time: Column) -> Column:

@@ -1,5 +1,6 @@
 import datetime
 import random
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -14,7 +15,7 @@ from kimberlite.operators.keys import lookup_key, surrogate_key
 from kimberlite.operators.numbering import number_rows
 from kimberlite.operators.ordering import ascending
 from kimberlite.operators.pick import any_by, first_by, latest_by
-from kimberlite.operators.validity import valid_at
+from kimberlite.operators.validity import _nodes, meetings, valid_at
 
 
 def rows_of(df):
@@ -229,3 +230,52 @@ def test_no_task_holds_a_whole_large_order(spread):
     by_task = done.groupBy(F.spark_partition_id()).count().collect()
     assert len(by_task) > 1 and max(r["count"] for r in by_task) < 8000
     assert "SinglePartition" not in physical_plan(done)
+
+
+def test_nodes_make_up_each_interval_once(spark):
+    rng = random.Random(5)
+    pairs = [(a, a + rng.choice([0, 1, 2, 3, 7, 8, 100, 10**6])) for a in (rng.randint(-300, 300) for _ in range(400))]
+    pairs += [(0, 2**40), (-(2**40) + 1, 2**40 - 1)]
+    found = spark.createDataFrame(pairs, "a bigint, b bigint").withColumn("nodes", _nodes("a", "b")).collect()
+    for a, b, nodes in found:
+        spans = sorted((n.node << n.level, (n.node + 1 << n.level) - 1) for n in nodes)
+        assert spans[0][0] == a and spans[-1][1] == b
+        assert all(x[1] + 1 == y[0] for x, y in zip(spans, spans[1:]))
+        assert max(Counter(n.level for n in nodes).values()) <= 2
+
+
+def test_only_entries_that_hold_a_time_meet_it(spark):
+    """Thousands of open entries for one key: a point doesn't meet those that have not started."""
+    rng = random.Random(4)
+    start = datetime.datetime(2000, 1, 1)
+    entries = [(1, start + datetime.timedelta(seconds=rng.randint(0, 10**8)), None, i) for i in range(3000)]
+    entries += [
+        (rng.choice([1, 2]), s, s + datetime.timedelta(seconds=rng.randint(0, 10**7)), i)
+        for i, s in enumerate([e[1] for e in entries[:500]], 3000)
+    ]
+    rows = [(i, rng.choice([1, 2, 3]), start + datetime.timedelta(seconds=rng.randint(-(10**6), 10**6))) for i in range(60)]
+    left = spark.createDataFrame(rows, "id int, p int, t timestamp_ntz")
+    right = spark.createDataFrame(entries, "p int, s timestamp_ntz, e timestamp_ntz, entry int")
+    args = dict(key="p", at="t", start="s", end="e", columns=["entry"])
+    wanted = [(i, c) for i, p, t in rows for q, s, e, c in entries if q == p and s <= t and (e is None or t <= e)]
+    # As many rows before the last filter as results.
+    assert meetings(left, right, **args).count() == len({(p, t, c) for i, p, t in rows for j, c in wanted if i == j})
+    found = valid_at(left, right, **args).filter("entry is not null").select("id", "entry")
+    assert rows_of(found) == sorted(wanted, key=repr)
+    assert len(wanted) < 0.1 * sum(len([e for e in entries if e[0] == p]) for _, p, _ in rows)
+
+
+def test_valid_at_by_dates_and_by_fractions_of_a_second(spark):
+    day = datetime.date
+    dates = spark.createDataFrame([(1, day(2011, 1, 1), day(2011, 3, 1), 7), (1, day(1960, 1, 1), None, 8)], "p int, s date, e date, c int")
+    at = spark.createDataFrame([(1, day(2011, 3, 1)), (1, day(1959, 12, 31)), (1, day(1960, 1, 1))], "p int, d date")
+    found = valid_at(at, dates, key="p", at="d", start="s", end="e", columns=["c"])
+    assert rows_of(found) == sorted(
+        [(1, day(2011, 3, 1), 7), (1, day(2011, 3, 1), 8), (1, day(1959, 12, 31), None), (1, day(1960, 1, 1), 8)], key=repr
+    )
+    time = datetime.datetime
+    fine = spark.createDataFrame([(1, time(2011, 1, 1, 0, 0, 0, 500), time(2011, 1, 1, 0, 0, 1, 500), 1)], "p int, s timestamp_ntz, e timestamp_ntz, c int")
+    points = [time(2011, 1, 1, 0, 0, 0, 499), time(2011, 1, 1, 0, 0, 0, 500), time(2011, 1, 1, 0, 0, 1, 500), time(2011, 1, 1, 0, 0, 1, 501)]
+    at = spark.createDataFrame([(1, p) for p in points], "p int, t timestamp_ntz")
+    found = {r.t: r.c for r in valid_at(at, fine, key="p", at="t", start="s", end="e", columns=["c"]).collect()}
+    assert [found[p] for p in points] == [None, 1, 1, None]
