@@ -693,6 +693,27 @@ def gold_long_history_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("k", "o_orderkey", "entry")
 
 
+@query(
+    "gold_open_history_join",
+    """WITH h AS (SELECT o_orderpriority AS k, o_orderkey AS entry, CAST(o_orderdate AS DATE) AS s,
+                         CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderdate AS DATE) + 90 END AS e FROM orders),
+            p AS (SELECT DISTINCT k, CAST(date_trunc('quarter', s) AS DATE) AS t FROM h)
+       SELECT p.k, t, count(entry) AS entries, CAST(sum(entry) AS BIGINT) AS keys
+       FROM p LEFT JOIN h ON h.k = p.k AND t >= s AND (e IS NULL OR t <= e) GROUP BY ALL""",
+)
+def gold_open_history_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histories of which most entries are open, thousands for one key: what holds at each quarter's first day."""
+    day = F.col("o_orderdate").cast("date")
+    history = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("k"),
+        F.col("o_orderkey").alias("entry"),
+        day.alias("s"),
+        F.when(F.col("o_orderkey") % 4 == 0, F.date_add(day, 90)).alias("e"),
+    )
+    quarters = history.select("k", F.trunc("s", "quarter").alias("t")).distinct()
+    found = valid_at(quarters, history, key="k", at="t", start="s", end="e", columns=["entry"])
+    return found.groupBy("k", "t").agg(F.count("entry").alias("entries"), F.sum("entry").alias("keys"))
+
 
 def cost_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One cost per part and year; the last one is open, the first year has none."""
