@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Seconds of the units that times of a key are counted in.
+UNITS = (86400, 3600, 60)
 _ENTRY = ["_h_start", "_h_end"]
 
 
@@ -47,27 +49,26 @@ def meetings(
 ) -> DataFrame:
     """``(_key, _at, _h_start, _h_end, *columns)``: each key and time with each entry that holds its second.
 
-    An entry is cut to the times between the first and the last point of its key,
-    so that an open one ends there too, and then into at most two nodes of each
-    length 1, 2, 4, ... seconds (days, if all times are dates), which together
-    are exactly its seconds. A point lies in one node of each length, and meets an
-    entry in one node if the entry holds it and in none if not. Points go only to
-    the lengths that the entries of their key have.
+    Times are counted from the first point in the largest of days, hours, minutes
+    and seconds that gives whole numbers for all points. An entry is cut to the
+    times between the first and the last point, so that an open one ends there
+    too, and then into nodes of 1, 4, 16, ... such units, at most three of each
+    length at each end, which together are exactly its times. A point lies in one
+    node of each length, and meets an entry in one node if the entry holds it and
+    in none if not. Keys meet only in that one join, by key and node.
     """
     kinds = [dict(rows.dtypes)[at], *(dict(history.dtypes)[c] for c in (start, end))]
-    if set(kinds) == {"date"}:
-        unit = _days
-    else:
-        unit = _instant if "timestamp" in kinds else _wall_clock
+    seconds = _instant if "timestamp" in kinds else _wall_clock
     points = (
         rows.select(F.col(key).alias("_key"), F.col(at).alias("_at"))
         .filter("_key is not null and _at is not null")
         .distinct()
-        .withColumn("_time", unit(F.col("_at")))
-    )
-    needed = points.groupBy(F.col("_key").alias("_h_key")).agg(
-        F.min("_time").alias("_earliest"), F.max("_time").alias("_latest")
+        .withColumn("_time", seconds(F.col("_at")))
     )
+    whole = [F.max(F.pmod("_time", F.lit(u))) == F.min(F.pmod("_time", F.lit(u))) for u in UNITS]
+    unit = F.coalesce(*[F.when(w, F.lit(u)) for w, u in zip(whole, UNITS)], F.lit(1)).cast("bigint")
+    bounds = points.agg(F.struct(F.min("_time").alias("first"), F.max("_time").alias("last"), unit.alias("unit")))
+    bounds = bounds.scalar()
     entries = (
         history.select(
             F.col(history_key or key).alias("_h_key"),
@@ -76,51 +77,50 @@ def meetings(
             *columns,
         )
         .filter("_h_key is not null and _h_start is not null and (_h_end is null or _h_start <= _h_end)")
-        .join(needed, "_h_key")
-        .withColumn("_from", F.greatest(unit(F.col("_h_start")), "_earliest"))
-        .withColumn("_to", F.least(F.coalesce(unit(F.col("_h_end")), "_latest"), "_latest"))
+        .withColumns(
+            {"_b": bounds, "_begin": seconds(F.col("_h_start")), "_stop": seconds(F.col("_h_end"))}
+        )
+        .withColumn("_from", F.expr("-floor((_b.first - greatest(_begin, _b.first)) / _b.unit)"))
+        .withColumn("_to", F.expr("floor((least(coalesce(_stop, _b.last), _b.last) - _b.first) / _b.unit)"))
         .filter("_from <= _to")
     )
-    lying = entries.select(F.col("_h_key"), *_ENTRY, *columns, F.explode(_nodes("_from", "_to")).alias("_n"))
-    lying = lying.select("_h_key", *_ENTRY, *columns, "_n.level", "_n.node")
-    lengths = lying.groupBy(F.col("_h_key").alias("_key")).agg(F.collect_set("level").alias("_levels"))
+    lying = with_nodes(entries, "_from", "_to").select("_h_key", "_level", "_node", *_ENTRY, *columns)
+    lying = lying.withColumnsRenamed({"_level": "_h_level", "_node": "_h_node"})
     placed = (
-        points.join(lengths, "_key")
-        .withColumn("_level", F.explode("_levels"))
-        .withColumn("_node", F.expr("shiftright(_time, _level)"))
-    )
-    same = (
-        (F.col("_key") == F.col("_h_key")) & (F.col("_level") == F.col("level")) & (F.col("_node") == F.col("node"))
+        points.withColumn("_b", bounds)
+        .withColumn("_number", F.expr("(_time - _b.first) div _b.unit"))
+        .withColumn("_level", F.expr(_LEVELS.format(n="(_b.last - _b.first) div _b.unit + 1")))
+        .select("_key", "_at", "_level", F.expr("shiftright(_number, 2 * _level)").alias("_node"))
     )
+    same = [F.col(c) == F.col(f"_h{c}") for c in ("_key", "_level", "_node")]
     return placed.join(lying, same).select("_key", "_at", *_ENTRY, *columns)
 
 
-def _nodes(first: str, last: str) -> Column:
-    """The nodes that make up the units from ``first`` to ``last``, both included.
+#: Numbers of the lengths of nodes that n units need.
+_LEVELS = "explode(sequence(0, cast(ceil(log2({n}) / 2) as int)))"
 
-    Nodes of ``2**level`` units are numbered from the left. At each level, what is
-    left to cover runs from ``lo``, the rounded-up number of the first node, to
-    before ``hi``, the rounded-down number of the node behind the last; an odd
-    ``lo`` and the one before an odd ``hi`` are no half of a larger node inside.
-    """
-    lo = f"(-shiftright(-{first}, level))"
-    hi = f"shiftright({last} + 1, level)"
-    top = f"cast(ceil(log2({last} - {first} + 1)) as int)"
-    return F.expr(
-        f"""filter(flatten(transform(sequence(0, {top}), level -> array(
-              if({lo} < {hi} and {lo} & 1 = 1, struct(level, {lo} as node), null),
-              if({lo} < {hi} and {hi} & 1 = 1, struct(level, {hi} - 1 as node), null)))), n -> n is not null)"""
-    )
 
+def with_nodes(df: DataFrame, first: str, last: str) -> DataFrame:
+    """A row for each of the nodes ``(_level, _node)`` that make up the units from ``first`` to ``last``.
 
-def _days(date: Column) -> Column:
-    return F.datediff(date, F.lit("1970-01-01").cast("date")).cast("bigint")
+    Nodes of ``4**level`` units are numbered from the left. What is left to cover
+    at a level runs from node ``lo`` to before ``hi``; of these, the level takes
+    those that are no part of a node of the next level inside: up to three from
+    the left and up to three from the right.
+    """
+    lo, hi = f"(-shiftright(-{first}, 2 * _level))", f"shiftright({last} + 1, 2 * _level)"
+    lo_above, hi_above = f"(-shiftright(-{first}, 2 * _level + 2))", f"shiftright({last} + 1, 2 * _level + 2)"
+    places = F.expr(f"explode(sequence(0, 6 * cast(ceil(log2({last} - {first} + 1) / 2) as int) + 5))")
+    placed = df.withColumn("_place", places).withColumn("_level", F.expr("_place div 6").cast("int"))
+    node = f"if(_place % 6 < 3, {lo}, 4 * {hi_above} - 3) + _place % 6"
+    own = f"if(_place % 6 < 3, _node < least(4 * {lo_above}, {hi}), {lo_above} <= {hi_above} and _node < {hi})"
+    return placed.withColumn("_node", F.expr(node)).filter(own)
 
 
 def _wall_clock(time: Column) -> Column:
-    """Whole seconds of a date or a time without zone, growing with it."""
-    time = time.cast("timestamp_ntz")
-    return _days(time.cast("date")) * 86400 + F.hour(time) * 3600 + F.minute(time) * 60 + F.floor(F.second(time))
+    """Whole seconds of a date or a time without zone, never falling as it grows."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("SECOND", epoch, time.cast("timestamp_ntz"))
 
 
 def _instant(time: Column) -> Column:

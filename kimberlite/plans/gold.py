@@ -524,10 +524,34 @@ def _orders(t: Tables, header: DataFrame) -> DataFrame:
     return rows.drop("customer_id", "currency_rate_id", "to_currency_code", "territory_id")
 
 
-def _with_cost(lines: DataFrame, costs: DataFrame) -> DataFrame:
-    """Cost at the order date. Overlapping intervals repeat a line before it is allocated."""
-    return valid_at(
-        lines,
+_LOOKED_UP = ["product_id", "special_offer_id", "order_date"]
+
+
+def _resolved(t: Tables, lines: DataFrame) -> DataFrame:
+    """What each different product, offer and order date of the lines stands for.
+
+    The lookups run over the different combinations, not over the lines, and the
+    lines then take all of it in one join. Overlapping cost entries give several
+    rows: such a line is repeated before it is allocated.
+    """
+    wanted = lines.select(*_LOOKED_UP).distinct()
+    products = lookup_key(
+        t.silver("production_product").select("product_id", "product_number"),
+        t.gold("dim_product"),
+        {"product_number": "product_alternate_key"},
+        "product_key",
+        default=None,
+    )
+    wanted = lookup_key(wanted, products, {"product_id": "product_id"}, "product_key")
+    wanted = lookup_key(
+        wanted,
+        t.gold("dim_promotion"),
+        {"special_offer_id": "promotion_alternate_key"},
+        "promotion_key",
+    )
+    costs = t.silver("production_product_cost_history")
+    wanted = valid_at(
+        wanted,
         costs.withColumn("_cost_start", F.col("start_date")),
         key="product_id",
         at="order_date",
@@ -535,6 +559,7 @@ def _with_cost(lines: DataFrame, costs: DataFrame) -> DataFrame:
         end="end_date",
         columns=["standard_cost", "_cost_start"],
     )
+    return wanted.withColumnsRenamed({c: f"_of_{c}" for c in _LOOKED_UP})
 
 
 def fact_internet_sales(t: Tables) -> DataFrame:
@@ -556,23 +581,12 @@ def fact_internet_sales(t: Tables) -> DataFrame:
         "line_total",
     )
     lines = left_join_many(_orders(t, header), detail, order)
-    lines = _with_cost(lines, t.silver("production_product_cost_history"))
+    resolved = _resolved(t, lines)
+    # Every line has its row there; an inner join is split at large keys on both sides.
+    same = [lines[c].eqNullSafe(resolved[f"_of_{c}"]) for c in _LOOKED_UP]
+    lines = lines.join(resolved, same).drop(*[f"_of_{c}" for c in _LOOKED_UP])
     by_line = ascending("sales_order_detail_id", "_cost_start")
     lines = allocate(lines, order, by_line, "line_total", _SPREAD)
-    products = lookup_key(
-        t.silver("production_product").select("product_id", "product_number"),
-        t.gold("dim_product"),
-        {"product_number": "product_alternate_key"},
-        "product_key",
-        default=None,
-    )
-    lines = lookup_key(lines, products, {"product_id": "product_id"}, "product_key")
-    lines = lookup_key(
-        lines,
-        t.gold("dim_promotion"),
-        {"special_offer_id": "promotion_alternate_key"},
-        "promotion_key",
-    )
     quantity = F.col("order_quantity")
     fact = lines.select(
         "product_key",

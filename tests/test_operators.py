@@ -15,7 +15,7 @@ from kimberlite.operators.keys import lookup_key, surrogate_key
 from kimberlite.operators.numbering import number_rows
 from kimberlite.operators.ordering import ascending
 from kimberlite.operators.pick import any_by, first_by, latest_by
-from kimberlite.operators.validity import _nodes, meetings, valid_at
+from kimberlite.operators.validity import meetings, valid_at, with_nodes
 
 
 def rows_of(df):
@@ -236,12 +236,15 @@ def test_nodes_make_up_each_interval_once(spark):
     rng = random.Random(5)
     pairs = [(a, a + rng.choice([0, 1, 2, 3, 7, 8, 100, 10**6])) for a in (rng.randint(-300, 300) for _ in range(400))]
     pairs += [(0, 2**40), (-(2**40) + 1, 2**40 - 1)]
-    found = spark.createDataFrame(pairs, "a bigint, b bigint").withColumn("nodes", _nodes("a", "b")).collect()
-    for a, b, nodes in found:
-        spans = sorted((n.node << n.level, (n.node + 1 << n.level) - 1) for n in nodes)
+    found = {}
+    for r in with_nodes(spark.createDataFrame(set(pairs), "a bigint, b bigint"), "a", "b").collect():
+        found.setdefault((r.a, r.b), []).append((r._level, r._node))
+    assert set(found) == set(pairs)
+    for (a, b), nodes in found.items():
+        spans = sorted((node << 2 * level, (node + 1 << 2 * level) - 1) for level, node in nodes)
         assert spans[0][0] == a and spans[-1][1] == b
         assert all(x[1] + 1 == y[0] for x, y in zip(spans, spans[1:]))
-        assert max(Counter(n.level for n in nodes).values()) <= 2
+        assert max(Counter(level for level, _ in nodes).values()) <= 6
 
 
 def test_only_entries_that_hold_a_time_meet_it(spark):
