@@ -49,12 +49,41 @@ def test_links_and_components_against_brute_force(spark):
 
 def test_cells_are_visited_by_distance():
     rng = np.random.default_rng(2)
-    index = Index(rng.normal(size=(7, 4)), rng.normal(size=(7, 4)), visits=49)
-    left, right = index.distances(rng.normal(size=(3, 8)))
-    for a, b in zip(left, right):
-        order = index.nearest_cells(a, b)
-        distance = [a[c // 7] + b[c % 7] for c in order]
-        assert sorted(order) == list(range(49)) and distance == sorted(distance)
+    for visits in (1, 2, 5, 20, 49, 60):
+        index = Index(rng.normal(size=(7, 4)), rng.normal(size=(7, 4)), visits=visits)
+        left, right = index.distances(rng.normal(size=(30, 8)))
+        grid = (left[:, :, None] + right[:, None, :]).reshape(30, -1)
+        cells = index.nearest_cells(left, right)
+        assert (cells == np.argsort(grid, axis=1, kind="stable")[:, :visits]).all()
+        rank = index.rank(left, right, cells[:, -1])  # rounding may count the cell itself
+        assert ((rank == cells.shape[1]) | (rank == cells.shape[1] + 1)).all()
+
+
+def test_rare_links_are_found(spark):
+    """Twenty pairs at cosine 0.92 among vectors that lie evenly; the probes see next to none."""
+    rng = np.random.default_rng(8)
+    n, size = 12_000, 64
+    v = rng.normal(size=(n, size))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    for k in range(20):
+        aside = rng.normal(size=size)
+        aside -= aside @ v[k] * v[k]
+        v[n - 1 - k] = 0.92 * v[k] + (1 - 0.92**2) ** 0.5 * aside / np.linalg.norm(aside)
+    rows = [(i, [float(np.float32(x)) for x in r]) for i, r in enumerate(v)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(8)
+    found = near_vectors(df, most_sampled=4096, probes=512).filter("n_links > 0").collect()
+    linked = {r["vec_id"]: r["component_id"] for r in found}
+    assert all(linked[i] in (i, n - 1 - i) for i in linked)
+    assert len(linked) >= 0.9 * 40
+
+
+def test_rows_of_one_id_are_judged_each_by_its_own_vector(spark):
+    one, two = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [("e", one), ("e", two), ("f", [0.99, 0.01, 0.0]), ("g", [0.01, 0.99, 0.0]), ("h", two)]
+    found = near_vectors(spark.createDataFrame(rows, "vec_id string, embedding array<double>")).collect()
+    assert sorted(map(tuple, found)) == sorted(
+        [("e", 1, "e", True), ("e", 2, "e", True), ("f", 1, "e", False), ("g", 2, "e", False), ("h", 2, "e", False)]
+    )
 
 
 def test_an_empty_table_and_one_without_vectors(spark):
