@@ -58,11 +58,11 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 @contextmanager
 def staging(spark: SparkSession):
-    """Delete the tables staged by this thread inside the block when it ends."""
-    _opened.paths = []
+    """Delete the tables staged by this thread inside the block when it ends; blocks may nest."""
+    outer, _opened.paths = getattr(_opened, "paths", None), []
     try:
         yield
     finally:
-        paths, _opened.paths = _opened.paths, None
+        paths, _opened.paths = _opened.paths, outer
         for path in paths:
             _delete(spark, path)

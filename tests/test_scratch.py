@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from kimberlite.sources.scratch import scratch_root, stage, staging
+from kimberlite.sources.scratch import discard, scratch_root, stage, staging
 
 
 class Settings(dict):
@@ -45,3 +45,19 @@ def test_staged_tables_are_read_from_files_and_removed_at_the_end(spark):
     assert not staged()
     stage(spark.range(5), "mine")
     assert len(staged()) == 1
+
+
+def test_blocks_nest_and_tables_can_be_discarded(spark):
+    def there(table):
+        return os.path.isdir(table._staged_at)
+
+    with staging(spark):
+        outer = stage(spark.range(3), "outer")
+        with staging(spark):
+            inner = stage(spark.range(3), "inner")
+            assert there(inner)
+        assert there(outer) and not there(inner)
+        gone = stage(spark.range(3), "gone")
+        discard(gone)
+        assert not there(gone)
+    assert not there(outer)
