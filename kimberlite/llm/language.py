@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kimberlite.llm.row_keys import told_apart
+from kimberlite.llm.staged import broadcast_if_few
 from kimberlite.llm.words import blocks, mix, power
+from kimberlite.sources.scratch import stage, staging
 
 UNKNOWN = "und"
 #: Orders of character n-grams, tried in this order.
@@ -135,26 +137,37 @@ def fit(
 ) -> Model:
     """A model from rows with text and language.
 
-    Of more than ``most_documents`` rows about that many are drawn, by a hash of
-    their text. The model keeps, over all languages, at most ``most_words`` words
-    and ``most_grams`` n-grams of each order: the most frequent of each language
-    in equal shares. Rows with a null text or language teach nothing.
+    Each different text of a language counts once, however many copies it has. Of
+    each language at most ``most_documents`` divided by the number of languages
+    are drawn, those with the smallest hashes, one at least, so that a rare
+    language is learned beside a frequent one. The model keeps, over all
+    languages, at most ``most_words`` words and ``most_grams`` n-grams of each
+    order: the most frequent of each language in equal shares. Rows with a null
+    text or language teach nothing.
     """
+    spark = labelled.sparkSession
     usable = labelled.select(F.col(text_column).alias("text"), F.col(language_column).cast("string").alias("lang"))
     usable = usable.filter("text is not null and lang is not null")
-    total = usable.count()
-    if total > most_documents:
-        share = int(most_documents / total * 2**32)
-        usable = usable.filter(F.pmod(F.xxhash64("text"), F.lit(2**32)) < share)
-    counted = usable.mapInArrow(_count, "lang string, place int, hash bigint, n bigint")
-    counts = counted.groupBy("lang", "place", "hash").agg(F.sum("n").alias("n"))
-    sums = counts.groupBy("lang", "place").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()
-    languages = sorted({r["lang"] for r in sums})
-    rank = F.row_number().over(Window.partitionBy("lang", "place").orderBy(F.desc("n"), "hash"))
-    most = F.when(F.col("place") == _WORD, most_words).otherwise(most_grams) / max(1, len(languages))
-    limit = max(most_words, most_grams)
-    top = counts.withColumn("rank", rank).filter(F.col("rank") <= limit).filter(F.col("rank") <= most)
-    rows = top.select("lang", "place", "hash", "n").toArrow()
+    usable = usable.select("lang", F.xxhash64("text").alias("key_1"), F.xxhash64(F.lit(1), "text").alias("key_2"), "text")
+    key = ["lang", "key_1", "key_2"]
+    languages = sorted(r["lang"] for r in usable.select("lang").distinct().collect())
+    share = max(1, most_documents // max(1, len(languages)))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("key_1", "key_2"))
+    chosen = usable.select(*key).distinct().withColumn("place", place).filter(F.col("place") <= share).drop("place")
+    with staging(spark):
+        chosen = broadcast_if_few(stage(chosen, "chosen"))
+        texts = usable.join(chosen, key, "left_semi").groupBy(*key).agg(F.first("text").alias("text"))
+        counted = texts.select("text", "lang").mapInArrow(_count, "lang string, place int, hash bigint, n bigint")
+        counts = stage(counted.groupBy("lang", "place", "hash").agg(F.sum("n").alias("n")), "counts")
+        sums = counts.groupBy("lang", "place").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()
+        rank = F.row_number().over(Window.partitionBy("lang", "place").orderBy(F.desc("n"), "hash"))
+
+        def top(which, most: int) -> DataFrame:
+            return counts.filter(which).withColumn("rank", rank).filter(F.col("rank") <= most // max(1, len(languages)))
+
+        word = F.col("place") == _WORD
+        most = top(word, most_words).unionByName(top(~word, most_grams))
+        rows = most.select("lang", "place", "hash", "n").toArrow()
     return _model(rows, languages, {(r["lang"], r["place"]): (r["n"], r["kinds"]) for r in sums})
 
 

@@ -57,3 +57,20 @@ def test_the_sample_and_the_model_are_bounded(spark):
     small = language.fit(frame(spark, rows), most_documents=60, most_words=30, most_grams=60)
     assert all(len(small.hashes[k]) <= (30 if k == 0 else 60) for k in small.hashes)
     assert small.languages == ["de", "en", "fr"]
+
+
+def test_a_language_of_few_texts_or_many_copies_is_learned(spark):
+    """Half of all rows are copies of one text, another language has a single text."""
+    rng = random.Random(4)
+    texts = [text(rng, "en", 20) for _ in range(3000)]
+    for seed in range(3):
+        copied, alone = text(random.Random(seed), "de", 20), text(random.Random(seed), "fr", 20)
+        rows = [(x, "en") for x in texts] + [(copied, "de")] * 3000 + [(alone, "fr")]
+        fitted = language.fit(spark.createDataFrame(rows, "text string, lang string").repartition(4), most_documents=60)
+        assert fitted.languages == ["de", "en", "fr"]
+        # Each text once: 20 of the sample are English, one is the copied text.
+        again = language.fit(spark.createDataFrame([(copied, "de"), (alone, "fr")], "text string, lang string"))
+        found = spark.createDataFrame([(0, copied), (1, alone), (2, texts[0])], "doc_id bigint, text string")
+        assert [r["lang_pred"] for r in language.predict(found, fitted).orderBy("doc_id").collect()] == ["de", "fr", "en"]
+        words = [len(again.hashes[0]), len(set(copied.split()) | set(alone.split()))]
+        assert words[0] == words[1]
