@@ -1,4 +1,6 @@
 import random
+import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 import numpy as np
@@ -7,6 +9,7 @@ from llm_samples import BLANK_SEPARATED, documents, frame, prose, words
 
 from kimberlite.llm import words as llm_words
 from kimberlite.llm.chunk_dedup import drop_repeated_chunks
+from kimberlite.llm.chunk_dedup import lines_of as lines_of_texts
 from kimberlite.llm.unit_dedup import drop_repeated_units
 from kimberlite.llm.unit_dedup import units as units_of
 from kimberlite.llm.words import placed
@@ -130,9 +133,86 @@ def test_every_shared_run_of_lines_is_found(spark):
     rows += [(200 + i, "a single line of text", *[None] * 6) for i in range(3)]
     rows += [(300, "\n".join(["again"] * 5), *[None] * 6), (301, "other\nagain\nanother", *[None] * 6)]
     texts = {r[0]: r[1] for r in rows}
-    found = {r["doc_id"]: r for r in drop_repeated_chunks(frame(spark, rows)).collect()}
+    found = {r["doc_id"]: r for r in drop_repeated_chunks(frame(spark, rows), mean_lines=1).collect()}
     for i, text in texts.items():
         gone = [(text.encode()[x["begin"] : x["end"]].decode(), x["kept_in"]) for x in found[i]["removed"]]
         want = [(planted[i], i - 1)] if i in planted else [(text, 200)] if 200 < i < 203 else []
         assert gone == ([("again\nagain", 300), ("again", 300)] if i == 300 else want)
     assert found[300]["text"].split() == ["again"] * 2 and found[300]["n_parts"] == 5
+
+
+def plain_chunks(text, least, mean):
+    """First and last line of each chunk, by the hash that the operator draws boundaries with."""
+    made = lines_of_texts([text])
+    n = len(made.start)
+    rolling = llm_words.mix(llm_words.grams(made.hash, 2) ^ np.uint64(0x9FB21C651E98DF25)).tolist()
+    at = [i for i in range(n) if i == 0 or mean == 1 or (i + 1 < n and rolling[i] % mean == 0)]
+    out = []
+    for i in at:
+        end = [*at, n][min(bisect_left(at, i + least), len(at))]
+        if end - i >= least or i == 0:
+            out.append((i, end))
+    return out
+
+
+def plain_removed(texts, least, mean):
+    """Lines that go from each text: what is alike around a chunk that stands earlier, up to the next chunks."""
+    kept = [[x for x in re.split(r"\r\n|\r|\n", t) if x] for t in texts]
+    made = [plain_chunks(t.encode(), least, mean) for t in texts]
+
+    def reach(d, a, b):
+        starts = [i for i, _ in made[d]]
+        before, behind = bisect_left(starts, a), bisect_right(starts, b)
+        ends = dict(made[d])
+        high = ends[starts[behind]] + 1 if behind < len(starts) else len(kept[d])
+        return starts[before - 1] if before else 0, min(high, len(kept[d]))
+
+    first, gone = {}, [set() for _ in texts]
+    for d in range(len(texts)):
+        for a, b in made[d]:
+            e, x = first.setdefault(tuple(kept[d][a:b]), (d, a))
+            if (e, x) == (d, a):
+                continue
+            if e == d:
+                gone[d] |= set(range(max(a, x + b - a), b))
+                continue
+            (low, high), (e_low, e_high) = reach(d, a, b), reach(e, x, x + b - a)
+            while a > low and x > e_low and kept[d][a - 1] == kept[e][x - 1]:
+                a, x = a - 1, x - 1
+            while b < high and x + b - a < e_high and kept[d][b] == kept[e][x + b - a]:
+                b += 1
+            gone[d] |= set(range(a, b))
+    return gone
+
+
+@pytest.mark.parametrize(("least", "mean"), [(2, 1), (2, 2), (2, 4), (3, 3), (1, 2)])
+def test_chunks_against_a_plain_version(spark, least, mean):
+    rng = random.Random(21 + mean)
+    pool = [[f"line {k} {i} " + prose(rng, 5) for i in range(rng.randrange(1, 25))] for k in range(20)]
+    texts = []
+    for _ in range(150):
+        lines = []
+        for _ in range(rng.randrange(1, 6)):
+            run = rng.choice(pool)
+            a = rng.randrange(len(run))
+            lines += run[a : a + rng.randrange(1, 20)] if rng.random() < 0.6 else [prose(rng, 6, 10**6) for _ in range(3)]
+        texts.append(rng.choice(["\n", "\n", "\r\n"]).join(lines))
+    texts += ["one", "one", "\n".join(["again"] * 7), "\n".join(f"long {i}" for i in range(2500))]
+    texts.append("new\n" + "\n".join(f"long {i}" for i in range(100, 2300)))
+    rows = [(i, t, *[None] * 6) for i, t in enumerate(texts)]
+    found = {r["doc_id"]: r for r in drop_repeated_chunks(frame(spark, rows), least_lines=least, mean_lines=mean).collect()}
+    want = plain_removed(texts, least, mean)
+    for i, text in enumerate(texts):
+        made = lines_of_texts([text.encode()])
+        begin = (made.start - 1).tolist()
+        got = {k for x in found[i]["removed"] for k, b in enumerate(begin) if x["begin"] <= b < x["end"]}
+        assert got == want[i], i
+    assert sum(map(len, want)) > 1000
+
+
+def test_repeated_runs_with_other_line_ends_are_found(spark):
+    run = [f"line {i} of a run that repeats" for i in range(6)]
+    texts = ["\n".join(run), "\r\n".join(["before", *run, "behind"]), "\r".join(run), "\n\n".join(run)]
+    found = {r["doc_id"]: r for r in drop_repeated_chunks(frame(spark, [(i, t, *[None] * 6) for i, t in enumerate(texts)])).collect()}
+    assert [found[i]["text"].split() for i in range(3)] == [texts[0].split(), ["before", "behind"], []]
+    assert found[3]["text"] == texts[3]
