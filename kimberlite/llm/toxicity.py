@@ -86,26 +86,34 @@ def word_scores(model: Model, letters: Letters) -> np.ndarray:
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal segments of positive score: first, beyond, score; in linear time.
 
-    Each keeps the sums before (L) and after (R) it; a new one is joined with the
-    last one whose L is smaller, as long as that one's R is smaller too.
+    Each keeps the sums before (L) and after (R) it, and which one held before it
+    is the last with a smaller L. A new one follows these links to the last whose L
+    is smaller than its own, and is joined with it if that one's R is smaller too.
+    Where none has a smaller L, nothing later can join what is held.
     """
     positive = np.flatnonzero(scores > 0)
     if not len(positive):
         return []
-    sums = np.r_[0.0, np.cumsum(scores)]
-    held: list[tuple[int, int, float, float]] = []
+    sums = np.r_[0.0, np.cumsum(scores)].tolist()
+    done: list[tuple[int, int, float, float, int]] = []
+    held: list[tuple[int, int, float, float, int]] = []
     for i in positive.tolist():
-        new = (i, i + 1, sums[i], sums[i + 1])
+        first, beyond, low, high = i, i + 1, sums[i], sums[i + 1]
+        j = len(held) - 1
         while True:
-            j = len(held) - 1
-            while j >= 0 and held[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or held[j][3] >= new[3]:
-                held.append(new)
+            while j >= 0 and held[j][2] >= low:
+                j = held[j][4]
+            if j < 0:
+                done += held
+                held = [(first, beyond, low, high, -1)]
                 break
-            new = (held[j][0], new[1], held[j][2], new[3])
+            if held[j][3] >= high:
+                held.append((first, beyond, low, high, j))
+                break
+            first, low, link = held[j][0], held[j][2], held[j][4]
             del held[j:]
-    return [(a, b, float(r - low)) for a, b, low, r in held]
+            j = link
+    return [(a, b, r - low) for a, b, low, r, _ in done + held]
 
 
 def evidence(model: Model, heights: list[float], n_words: int) -> float:
