@@ -18,7 +18,7 @@ from kimberlite.sources.scratch import stage
 _SENTENCE_END = np.isin(np.arange(256), [ord(c) for c in ".!?"])
 
 
-def units(texts: list[bytes], kind: str, least_words: int) -> Parts:
+def units(texts: list[bytes], kind: str, least_words: int, least_unspaced: int = 20) -> Parts:
     words = words_of(texts, BLANK_SEPARATED)
     if not len(words.start):
         return Parts.none()
@@ -30,13 +30,15 @@ def units(texts: list[bytes], kind: str, least_words: int) -> Parts:
     first = np.flatnonzero(np.r_[True, breaks])
     beyond = np.r_[first[1:], len(words.start)]
     doc = words.doc[first]
+    beyond_ascii = np.r_[0, np.cumsum(words.data >= 0xC0)]  # first bytes of such characters
+    unspaced = beyond_ascii[words.end[beyond - 1]] - beyond_ascii[words.start[first]]
     return Parts(
         doc,
         words.start[first] - words.base[doc],
         words.end[beyond - 1] - words.base[doc],
         stretches(words.hash, first, beyond),
         placed(placed(words.data, words.start, words.end, FOLDED), first, beyond),
-        beyond - first >= least_words,
+        (beyond - first >= least_words) | (unspaced >= least_unspaced),
     )
 
 
@@ -44,8 +46,9 @@ def drop_repeated_units(
     docs: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
-    kind: str = "sentence",
+    kind: str = "line",
     least_words: int = 5,
+    least_unspaced: int = 20,
 ) -> DataFrame:
     """``(id, text, n_parts, removed)`` for every row of ``docs``.
 
@@ -53,7 +56,9 @@ def drop_repeated_units(
     or "paragraph" (cut at empty lines). ``text`` is what is left; ``removed``
     lists the units taken out, with their UTF-8 byte range in the original and
     the id of the document that keeps the unit. Units of fewer than
-    ``least_words`` words stay, as they repeat by chance.
+    ``least_words`` words stay, as they repeat by chance, unless they have
+    ``least_unspaced`` characters beyond ASCII, as a line of a script has that is
+    written without blanks.
 
     Null texts stay null; empty ones have no units. Of documents with equal
     units, the smallest id keeps them, a null id last; rows equal in id and text
@@ -65,7 +70,7 @@ def drop_repeated_units(
         raise ValueError(f"unknown kind of unit: {kind}")
 
     def split(texts: list[bytes]) -> Parts:
-        return units(texts, kind, least_words)
+        return units(texts, kind, least_words, least_unspaced)
 
     def make() -> DataFrame:
         texts = ranked(docs, id_column, text_column)

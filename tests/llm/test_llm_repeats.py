@@ -216,3 +216,10 @@ def test_repeated_runs_with_other_line_ends_are_found(spark):
     found = {r["doc_id"]: r for r in drop_repeated_chunks(frame(spark, [(i, t, *[None] * 6) for i, t in enumerate(texts)])).collect()}
     assert [found[i]["text"].split() for i in range(3)] == [texts[0].split(), ["before", "behind"], []]
     assert found[3]["text"] == texts[3]
+
+
+def test_lines_of_a_script_without_blanks_are_units(spark):
+    long, short = "这是一个没有空格的句子它在许多文件中重复出现所以应该被删除", "你好世界"
+    rows = [(i, f"{t}\nthis line number {i} is like no other", *[None] * 6) for i, t in enumerate([long, long, short, short])]
+    found = {r["doc_id"]: len(r["removed"]) for r in drop_repeated_units(frame(spark, rows)).collect()}
+    assert found == {0: 0, 1: 1, 2: 0, 3: 0}
