@@ -113,7 +113,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_repeated_units")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dedup_result(drop_repeated_units(table(spark, sf_dir, "documents")))
+    return _dedup_result(drop_repeated_units(table(spark, sf_dir, "documents"), kind="sentence"))
 
 
 @query("op10_repeated_chunks")
