@@ -93,7 +93,8 @@ def meetings(
         .select("_key", "_at", "_level", F.expr("shiftright(_number, 2 * _level)").alias("_node"))
     )
     same = [F.col(c) == F.col(f"_h{c}") for c in ("_key", "_level", "_node")]
-    return placed.join(lying, same).select("_key", "_at", *_ENTRY, *columns)
+    # Estimates of sizes leave out the rows that explode adds: entries are never broadcast by them.
+    return placed.join(lying.hint("merge"), same).select("_key", "_at", *_ENTRY, *columns)
 
 
 #: Numbers of the lengths of nodes that n units need.

@@ -282,3 +282,14 @@ def test_valid_at_by_dates_and_by_fractions_of_a_second(spark):
     at = spark.createDataFrame([(1, p) for p in points], "p int, t timestamp_ntz")
     found = {r.t: r.c for r in valid_at(at, fine, key="p", at="t", start="s", end="e", columns=["c"]).collect()}
     assert [found[p] for p in points] == [None, 1, 1, None]
+
+
+def test_exploded_entries_are_not_broadcast(spark):
+    """Spark plans with the size of the entries, not of the rows that explode makes of them."""
+    day = F.date_add(F.lit("2011-01-01").cast("date"), F.col("id").cast("int"))
+    left = spark.range(50).select(F.lit(1).alias("p"), day.alias("t"))
+    right = spark.range(50).select(F.lit(1).alias("p"), day.alias("s"), F.lit(None).cast("date").alias("e"), F.col("id").alias("entry"))
+    met = meetings(left, right, key="p", at="t", start="s", end="e", columns=["entry"])
+    plan = physical_plan(met)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert met.count() == 50 * 51 // 2
