@@ -97,6 +97,13 @@ def test_left_join_many_is_the_left_join(spark):
     assert rows_of(left_join_many(one, many, "k")) == wanted
 
 
+def test_left_join_many_broadcasts_neither_side(spark):
+    one = spark.range(20).select(F.col("id").alias("k"), F.col("id").alias("o"))
+    many = spark.range(100).select((F.col("id") % 15).alias("k"), F.col("id").alias("m"))
+    plan = physical_plan(left_join_many(one, many, "k"))
+    assert plan.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in plan
+
+
 # ------------------------------------------------------------------- keys
 
 
