@@ -102,7 +102,7 @@ def customer_sales(t: Tables) -> DataFrame:
     customers = t.gold("dim_customer").select("customer_key", "customer_name", "geography_key")
     places = t.gold("dim_geography").select("geography_key", "country_region_name")
     return (
-        totals.join(customers, "customer_key", "left")
+        totals.join(customers.hint("merge"), "customer_key", "left")
         .join(places, "geography_key", "left")
         .select("customer_key", "customer_name", "country_region_name", "sales", "orders", "quantity")
     )
