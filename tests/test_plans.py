@@ -29,8 +29,8 @@ def test_sides_that_joins_read_twice_are_staged(spark, monkeypatch):
     for module in (gold, numbering, allocation):
         monkeypatch.setattr(module, "stage", kept)
     fact = DerivedTables(spark, SF_DIR).gold("fact_internet_sales")
-    assert {"persons", "customers"} <= set(plans)
+    assert {"persons", "customers", "wanted"} <= set(plans)
     scans = {name: max(p.count("FileScan") for p in of) for name, of in plans.items()}
-    assert scans["numbered"] <= 8, scans
+    assert scans["numbered"] <= 8 and scans["lines"] <= 16, scans
     assert "Broadcast" not in plans["customers"][0]
     assert fact.count() > 0
