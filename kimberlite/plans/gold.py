@@ -283,7 +283,7 @@ def dim_product(t: Tables) -> DataFrame:
         .filter(F.upper("culture_id") == DESCRIPTION_CULTURE)
         .select("product_id", "product_model", "description")
     )
-    body = t.silver("production_product").join(texts, "product_id", "left")
+    body = t.silver("production_product").join(texts.hint("merge"), "product_id", "left")
     body = lookup_key(
         body,
         t.gold("dim_product_subcategory"),
@@ -545,8 +545,9 @@ def _resolved(t: Tables, lines: DataFrame) -> DataFrame:
         {"product_number": "product_alternate_key"},
         "product_key",
         default=None,
+        many=True,
     )
-    wanted = lookup_key(wanted, products, {"product_id": "product_id"}, "product_key")
+    wanted = lookup_key(wanted, products, {"product_id": "product_id"}, "product_key", many=True)
     wanted = lookup_key(
         wanted,
         t.gold("dim_promotion"),
