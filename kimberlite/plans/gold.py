@@ -424,8 +424,10 @@ def dim_customer(t: Tables) -> DataFrame:
         )
         .filter(F.col("business_entity_id").isNotNull())
     )
+    # A row per customer or person is not for the driver to gather, however small as files.
+    customers = customers.join(first_purchase.hint("merge"), "customer_id", "left")
     # Both sides of the last join are read twice by it; staged, they are built once and apart.
-    customers = stage(customers.join(first_purchase, "customer_id", "left"), "customers")
+    customers = stage(customers, "customers")
     phones = first_by(
         t.silver("person_phone"),
         ["business_entity_id"],
@@ -440,7 +442,6 @@ def dim_customer(t: Tables) -> DataFrame:
 
     body = persons
     for part in (home_addresses(t), demographics, phones, emails):
-        # As many rows as persons: not for the driver to gather, however small as files.
         body = body.join(part.hint("merge"), "business_entity_id", "left")
     body = left_join_many(stage(body, "persons"), customers, "business_entity_id")
     body = body.withColumn(
