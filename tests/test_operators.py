@@ -291,6 +291,44 @@ def test_valid_at_by_dates_and_by_fractions_of_a_second(spark):
     assert [found[p] for p in points] == [None, 1, 1, None]
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+@pytest.mark.parametrize("fine", [0, 250_000])
+def test_valid_at_by_parts_of_a_second_against_brute_force(spark, kind, fine):
+    """Points at whole seconds or not, entries at quarters of a second, before and after 1970."""
+    rng = random.Random(fine)
+    start = datetime.datetime(1969, 12, 31, 23, 59, 50)
+    quarter = datetime.timedelta(microseconds=250_000)
+    entries = [(rng.choice([1, 2]), start + rng.randint(0, 80) * quarter, i) for i in range(120)]
+    entries = [(p, s, rng.choice([None, s + rng.randint(0, 30) * quarter]), i) for p, s, i in entries]
+    unit = quarter if fine else 4 * quarter
+    rows = [(i, rng.choice([1, 2, 3]), start + rng.randint(-5, 25) * unit) for i in range(60)] + [(60, 1, None), (61, None, start)]
+    wanted = []
+    for i, p, t in rows:
+        hits = [c for q, s, e, c in entries if t is not None and q == p and s <= t and (e is None or t <= e)]
+        wanted += [(i, c) for c in hits] or [(i, None)]
+    left = spark.createDataFrame(rows, "id int, p int, t timestamp_ntz").withColumn("t", F.col("t").cast(kind))
+    right = spark.createDataFrame(entries, "p int, s timestamp_ntz, e timestamp_ntz, entry int")
+    right = right.withColumns({c: F.col(c).cast(kind) for c in "se"})
+    args = dict(key="p", at="t", start="s", end="e", columns=["entry"])
+    found = valid_at(left, right, **args)
+    assert found.columns == ["id", "p", "t", "entry"]
+    assert rows_of(found.select("id", "entry")) == sorted(wanted, key=repr)
+    if not fine:  # nodes decide, and nothing is met in vain
+        assert meetings(left, right, **args).count() == len({(*rows[i][1:], c) for i, c in wanted if c is not None})
+
+
+def test_times_are_not_carried_where_nodes_decide(spark):
+    """What the node join shuffles has numbers of units, and no times, if points are at whole seconds."""
+    hour = F.make_dt_interval(hours=F.col("id").cast("int"))
+    time = (F.lit("2011-01-01 00:30:00").cast("timestamp_ntz") + hour).alias("t")
+    left = spark.range(40).select(F.lit(1).alias("p"), time)
+    right = left.select("p", F.col("t").alias("s"), (F.col("t") + F.make_dt_interval(hours=F.lit(9))).alias("e"), F.lit(7).alias("entry"))
+    met = meetings(left, right, key="p", at="t", start="s", end="e", columns=["entry"])
+    assert met.filter("_h_start is not null or _h_end is not null").count() == 0
+    assert sorted({r._at for r in met.select("_at").collect()}) == [*range(40)]
+    assert met.count() == sum(min(10, 40 - i) for i in range(40))
+
+
 def test_exploded_entries_are_not_broadcast(spark):
     """Spark plans with the size of the entries, not of the rows that explode makes of them."""
     day = F.date_add(F.lit("2011-01-01").cast("date"), F.col("id").cast("int"))
