@@ -1,10 +1,12 @@
 import os
 import shutil
+import time
 from types import SimpleNamespace
 
 import pytest
 
-from kimberlite.sources.scratch import discard, scratch_root, stage, staging
+from kimberlite.sources.lake import GOLD, Lake
+from kimberlite.sources.scratch import discard, freed_shuffles, scratch_root, stage, staging
 
 
 class Settings(dict):
@@ -61,3 +63,43 @@ def test_blocks_nest_and_tables_can_be_discarded(spark):
         discard(gone)
         assert not there(gone)
     assert not there(outer)
+
+
+SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def shuffled_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for i in range(files.size()) if (n := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def written(table):
+    return table.repartition(3, "id").groupBy((table["id"] % 7).alias("k")).count()
+
+
+@pytest.mark.parametrize("what", ["stage", "overwrite"])
+def test_what_a_write_shuffled_is_gone_when_it_ends(spark, tmp_path, what):
+    before = shuffled_files(spark)
+    df = written(spark.range(1000))
+    if what == "stage":
+        rows = stage(df, "freed")
+    else:
+        lake = Lake(spark, str(tmp_path))
+        assert lake.overwrite(df, GOLD, "freed") == 7
+        rows = lake.read(GOLD, "freed")
+    until = time.time() + 10  # Spark deletes them beside other work
+    while shuffled_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffled_files(spark) - before
+    assert sorted(r["count"] for r in rows.collect()) == [142] * 1 + [143] * 6
+
+
+def test_the_setting_of_shuffled_files_is_restored(spark):
+    first, second = freed_shuffles(spark), freed_shuffles(spark)
+    before = spark.conf.get(SETTING, None)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)  # threads may end in any order
+    assert spark.conf.get(SETTING) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(SETTING, None) == before
