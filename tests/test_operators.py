@@ -15,6 +15,7 @@ from kimberlite.operators.keys import lookup_key, surrogate_key
 from kimberlite.operators.numbering import number_rows
 from kimberlite.operators.ordering import ascending
 from kimberlite.operators.pick import any_by, first_by, latest_by
+from kimberlite.operators import validity
 from kimberlite.operators.validity import meetings, valid_at, with_nodes
 
 
@@ -337,3 +338,38 @@ def test_exploded_entries_are_not_broadcast(spark):
     plan = physical_plan(met)
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     assert met.count() == 50 * 51 // 2
+
+
+def few_and_many(spark):
+    """Key 1 has 40 entries, key 2 three, key 3 none and key 4 one but many times; rows repeat times."""
+    rng = random.Random(8)
+    start = datetime.datetime(2011, 1, 1)
+    hours = lambda n: datetime.timedelta(hours=n)
+    entries = [(p, start + hours(rng.randint(0, 500)), i) for i, p in enumerate([1] * 40 + [2] * 3 + [4])]
+    entries = [(p, s, rng.choice([None, s + hours(rng.randint(0, 90))]), i) for p, s, i in entries]
+    rows = [(p, start + hours(rng.randint(-20, 520))) for p in [1, 2, 3] * 30 + [4] * 200]
+    rows = [(i, p, t) for i, (p, t) in enumerate(rows + rows[:50] + [(None, start), (1, None)])]
+    wanted = []
+    for i, p, t in rows:
+        hits = [c for q, s, e, c in entries if t is not None and q == p and s <= t and (e is None or t <= e)]
+        wanted += [(i, c) for c in hits] or [(i, None)]
+    left = spark.createDataFrame(rows, "id int, p int, t timestamp_ntz")
+    right = spark.createDataFrame(entries, "p int, s timestamp_ntz, e timestamp_ntz, entry int")
+    return left, right, sorted(wanted, key=repr)
+
+
+@pytest.mark.parametrize("most, cut", [((32, 100), [1, 4]), ((32, 10**5), [1]), ((1000, 10**5), [])])
+def test_only_entries_of_large_keys_are_copied_to_nodes(spark, monkeypatch, most, cut):
+    left, right, wanted = few_and_many(spark)
+    keys = set()
+
+    def noted(df, *bounds):
+        keys.update(r[0] for r in df.select("_h_key").distinct().collect())
+        return with_nodes(df, *bounds)
+
+    monkeypatch.setattr(validity, "with_nodes", noted)
+    monkeypatch.setattr(validity, "FEW_ENTRIES", most[0], raising=False)
+    monkeypatch.setattr(validity, "FEW_POINTS", most[1], raising=False)
+    found = valid_at(left, right, key="p", at="t", start="s", end="e", columns=["entry"])
+    assert rows_of(found.select("id", "entry")) == wanted
+    assert sorted(keys) == cut
