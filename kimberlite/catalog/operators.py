@@ -22,7 +22,7 @@ from kimberlite.operators.pick import any_by, first_by, latest_by
 from kimberlite.operators.validity import valid_at
 from kimberlite.plans.silver import size_band, size_band_sql
 from kimberlite.sources.raw import ingest, list_raw, read_raw, with_lineage
-from kimberlite.sources.scratch import scratch_root
+from kimberlite.sources.scratch import discard, scratch_root, stage, stage_alone
 
 # Numbers the lines of an order; line numbers alone repeat.
 LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
@@ -886,32 +886,45 @@ def gold_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = F.col("o_totalprice")
     history = cost_history(spark, sf_dir)
 
-    lines = order_lines(spark, sf_dir, "l_quantity").withColumns(
-        {
-            "order_date": F.col("o_orderdate").cast("date"),
-            "_sales": to_decimal(total, *EXACT),
-            "_tax": to_decimal(total * 0.08, *EXACT),
-            "_freight": to_decimal(total * 0.025, *EXACT),
-        }
-    )
-    lines = valid_at(
-        lines,
-        history,
-        key="l_partkey",
-        history_key="part_id",
-        at="order_date",
-        start="start_date",
-        end="end_date",
-        columns=["cost"],
-    )
-    rows = allocate(
-        lines,
-        "order_id",
-        ascending(*LINE_ORDER),
-        "l_extendedprice",
-        {"sales_amount": "_sales", "tax_amount": "_tax", "freight": "_freight"},
-    )
-    rows = lookup_key(rows, dim_part(spark, sf_dir), {"l_partkey": "part_id"}, "part_key")
+    def with_costs() -> DataFrame:
+        lines = order_lines(spark, sf_dir, "l_quantity")
+        lines = lines.withColumn("order_date", F.col("o_orderdate").cast("date")).drop("o_orderdate")
+        return valid_at(
+            stage(lines, "order_lines"),
+            history,
+            key="l_partkey",
+            history_key="part_id",
+            at="order_date",
+            start="start_date",
+            end="end_date",
+            columns=["cost"],
+        )
+
+    def allocated() -> DataFrame:
+        costs = stage_alone(spark, with_costs, "costs")
+        lines = costs.withColumns(
+            {
+                "_sales": to_decimal(total, *EXACT),
+                "_tax": to_decimal(total * 0.08, *EXACT),
+                "_freight": to_decimal(total * 0.025, *EXACT),
+            }
+        )
+        lines = allocate(
+            lines.drop("o_totalprice"),
+            "order_id",
+            ascending(*LINE_ORDER),
+            "l_extendedprice",
+            {"sales_amount": "_sales", "tax_amount": "_tax", "freight": "_freight"},
+        )
+        discard(costs)
+        return lines.drop("line_count", "line_total_of_group", "line_share", "_sales", "_tax", "_freight")
+
+    def with_parts() -> DataFrame:
+        lines = stage_alone(spark, allocated, "allocated").drop("l_linenumber", "l_suppkey")
+        return lookup_key(lines, dim_part(spark, sf_dir), {"l_partkey": "part_id"}, "part_key")
+
+    # Every step shuffles whole lines: its result is staged, and what it shuffled and read is gone before the next.
+    rows = stage_alone(spark, with_parts, "parts")
     rows = lookup_key(rows, dim_customer(spark, sf_dir), {"o_custkey": "customer_id"}, "customer_key")
     fact = rows.select(
         "order_id",
