@@ -19,7 +19,7 @@ from kimberlite.operators.keys import UNKNOWN_KEY, lookup_key
 from kimberlite.operators.ordering import ascending, descending
 from kimberlite.operators.pick import first_by
 from kimberlite.operators.validity import valid_at
-from kimberlite.sources.scratch import stage
+from kimberlite.sources.scratch import discard, stage, stage_alone
 
 UNKNOWN = "UNKNOWN"
 # Fixed values.
@@ -443,11 +443,15 @@ def dim_customer(t: Tables) -> DataFrame:
     body = persons
     for part in (home_addresses(t), demographics, phones, emails):
         body = body.join(part.hint("merge"), "business_entity_id", "left")
-    body = left_join_many(stage(body, "persons"), customers, "business_entity_id")
+    persons = stage(body, "persons")
+    body = left_join_many(persons, customers, "business_entity_id")
     body = body.withColumn(
         "geography_key", F.coalesce("geography_key", F.lit(UNKNOWN_KEY).cast("bigint"))
     )
-    return build_dimension(body, CUSTOMER)
+    dimension = build_dimension(body, CUSTOMER)
+    for staged in (persons, customers):  # numbering has staged its rows
+        discard(staged)
+    return dimension
 
 
 # ---------------------------------------------------------------------- fact
@@ -588,15 +592,24 @@ def fact_internet_sales(t: Tables) -> DataFrame:
         "unit_price_discount",
         "line_total",
     )
-    # Read four times below; staged, their lookups run once and stay out of the plan of the lines.
-    orders = stage(_orders(t, header), "orders")
-    lines = left_join_many(orders, detail, order)
-    resolved = _resolved(t, lines)
-    # Every line has its row there; an inner join is split at large keys on both sides.
-    same = [lines[c].eqNullSafe(resolved[f"_of_{c}"]) for c in _LOOKED_UP]
-    lines = lines.join(resolved, same).drop(*[f"_of_{c}" for c in _LOOKED_UP])
+
+    def ordered() -> DataFrame:
+        # Read four times by the join; staged, their lookups run once and stay out of the plan of the lines.
+        return left_join_many(stage(_orders(t, header), "orders"), detail, order)
+
+    def resolved() -> DataFrame:
+        lines = stage_alone(t.spark, ordered, "order_lines")
+        resolved = _resolved(t, lines)
+        # Every line has its row there; an inner join is split at large keys on both sides.
+        same = [lines[c].eqNullSafe(resolved[f"_of_{c}"]) for c in _LOOKED_UP]
+        return lines.join(resolved, same).drop(*[f"_of_{c}" for c in _LOOKED_UP])
+
+    # Every step shuffles whole lines: its result is staged, and what it shuffled and read is gone before the next.
+    lines = stage_alone(t.spark, resolved, "resolved")
     by_line = ascending("sales_order_detail_id", "_cost_start")
-    lines = allocate(lines, order, by_line, "line_total", _SPREAD)
+    allocated = allocate(lines, order, by_line, "line_total", _SPREAD)
+    discard(lines)
+    lines = allocated
     quantity = F.col("order_quantity")
     fact = lines.select(
         "product_key",
