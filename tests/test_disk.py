@@ -8,6 +8,9 @@ import pytest
 
 from __spark_entry__ import queries
 from conftest import physical_plan
+from kimberlite.catalog import models
+from kimberlite.catalog.bronze import SOURCES, bronze
+from kimberlite.sources.raw import ingest, list_raw
 from kimberlite.sources.scratch import scratch_root
 
 
@@ -74,3 +77,16 @@ def test_the_internet_fact_leaves_only_numbered_lines_and_keys(spark, tables):
     left = {re.sub("-[0-9a-f]{32}", "", n) for n in staged(spark) - before}
     assert left == {"lines", "numbered"}
     assert fact.count() == 5
+
+
+def test_raw_files_of_a_load_are_compressed_and_read_back(spark, tables, tmp_path):
+    folder = f"{tmp_path}/raw"
+    models.raw_files(spark, tables, folder)
+    parts = [n for _, _, names in os.walk(folder) for n in names if n.startswith("part-")]
+    assert parts and all(n.endswith(".csv.gz") for n in parts)
+    found = list_raw(spark, folder, models.RAW)
+    assert set(found) == set(SOURCES)
+    for name in ("SalesSalesOrderHeader", "PersonAddress"):
+        made = bronze(spark, tables, name).drop("_ingestion_ts")
+        read = ingest(spark, found[name], pattern=models.RAW).select(*made.columns)
+        assert made.count() == read.count() and not made.exceptAll(read).count()
